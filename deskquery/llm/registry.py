@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES (name: function of a session and a folder) and ORACLE (name: SQL).
-MODULES = ("op01", "op07", "op08", "op09", "op10")
+MODULES = ("op01", "op03", "op07", "op08", "op09", "op10")
 
 
 def _merged(what: str) -> dict:
