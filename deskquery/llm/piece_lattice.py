@@ -63,14 +63,14 @@ class Pieces:
         self.longest = max(map(len, self.ids))
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids):
             raise ValueError("a piece of this model runs over the start of a word")
-        # Marks: characters other than letters and digits that no piece holds after anything but a mark or space. Words end before them.
+        # Marks are the pieces' characters other than letters and digits. A word ends before a mark that no piece holds after a letter or digit.
         marks = {c for p in self.ids for c in p if not c.isalnum() and c not in (SPACE, "\n") and ord(c) < 0x10000}
-        while late := {b for p in self.ids for a, b in zip(p, p[1:], strict=False) if b in marks and a not in marks and a != SPACE}:
-            marks -= late
-        cuts = "".join(f"\\u{ord(c):04x}" for c in sorted(marks))
-        plain = rf"[^{SPACE}\n{cuts}]"
-        #: Words of a text whose spaces have been replaced; valid in Java and in Python.
-        self.words = (rf"{SPACE}*(?:[{cuts}]+{plain}*|{plain}+)" if cuts else rf"{SPACE}*{plain}+") + rf"|{SPACE}+|\n"
+        held = {b for p in self.ids for a, b in zip(p, p[1:], strict=False) if b in marks and a not in marks and a != SPACE}
+        listed = lambda chars: "".join(f"\\u{ord(c):04x}" for c in sorted(chars))
+        plain, mark = rf"[^{SPACE}\n{listed(marks)}]", f"[{listed(marks)}]"
+        more = f"(?:[{listed(held)}]{mark}*{plain}*)*" if held else ""
+        #: Words of a text whose spaces have been replaced.
+        self.words = rf"{SPACE}*(?:{mark}+{plain}*|{plain}+){more}|{SPACE}+|\n"
         self.entries = {p: (self.score[p], (i,)) for p, i in self.ids.items()}
         self.raw = {i: p.encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in self.of_byte.items()}
 
