@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES (name: function of a session and a folder) and ORACLE (name: SQL).
-MODULES = ("op01", "op03", "op04", "op06", "op07", "op08", "op09", "op10")
+MODULES = tuple(f"op{n:02}" for n in range(1, 11))
 
 
 def _merged(what: str) -> dict:
