@@ -46,7 +46,8 @@ BLOCK = 1 << 14
 END_ID = 1
 _HEAD = struct.Struct("<IIQQQ")  # bits, block, ids, documents, blocks
 _WORDS = re.compile(r"[^ \t-\r]+").findall  # runs without ASCII white space
-_KEPT = 400_000  # words whose ids a worker remembers
+_MARKS = re.compile(r"(.*[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([!-/:-@\[-`{-~]+)", re.DOTALL).fullmatch  # a letter or digit, then marks
+_KEPT = 500_000  # words of a generation that a worker remembers
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
@@ -156,24 +157,50 @@ def vocabulary_bits(path: str) -> int:
 
 
 class Encoder:
-    """The tokenizer, asked once per word: it drops white space and looks at no word's neighbours, so a text's ids are its words' ids."""
+    """The tokenizer, asked once per stem: it drops white space, folds case and cuts a word before marks that follow a letter or digit,
+    so a text's ids are those of its words' stems and of the marks behind them.
+
+    Two generations of words and stems are remembered: when the newer is full, the older goes, and what is still in use comes back."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = _tokenizer(path), {}
+        self.tokenizer, self.words, self.stems = _tokenizer(path), _Memory(), _Memory()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [_WORDS(t) for t in texts]
-        if len(self.known) > _KEPT:
-            self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        end, get = np.array([END_ID], "<u4").tobytes(), self.known.__getitem__
+        new = {w: _parts(w) for w in self.words.missing({w for words in split for w in words})}
+        stems = list(self.stems.missing({p for parts in new.values() for p in parts}))
+        for at in range(0, len(stems), 10_000):
+            part = stems[at : at + 10_000]
+            for stem, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.stems.known[stem] = np.array(e.ids, "<u4").tobytes()
+        known = self.stems.known
+        self.words.known.update((w, b"".join(known[p] for p in parts)) for w, parts in new.items())
+        end, get = np.array([END_ID], "<u4").tobytes(), self.words.known.__getitem__
         return [np.frombuffer(b"".join(map(get, words)) + end, "<u4") for words in split]
 
 
+def _parts(word: str) -> tuple[str, ...]:
+    """Stem and marks. Only plain ASCII is folded here: other letters may combine before the tokenizer folds them."""
+    if "<|" in word:
+        return (word,)  # may hold a special token
+    m = _MARKS(word)
+    stem, *marks = (m[1], m[2]) if m else (word,)
+    return (stem.lower() if stem.isascii() else stem, *marks)
+
+
+class _Memory:
+    def __init__(self):
+        self.known, self.older = {}, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Keys that are not known; those of the older generation become known again."""
+        if len(self.known) > _KEPT:
+            self.known, self.older = {}, self.known
+        missing = keys - self.known.keys()
+        self.known.update((k, self.older[k]) for k in missing & self.older.keys())
+        return missing - self.older.keys()
+
+
 def write(docs: DataFrame, tokenizer: str, folder: str | None = None, files: int | None = None) -> DataFrame:
     """Writes the files (at once) and returns one row each, in order: file, n_docs, n_ids, start (ids in the files before).
 
