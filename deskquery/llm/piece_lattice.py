@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -44,6 +45,7 @@ from .common import bounded_batches, cut
 SPACE = "▁"
 VOCABULARY = 1 << 18
 LONGEST = 64
+_ADDED = ("ids", "n_pieces", "ids_crc32", "decoded")
 _KEPT = 200_000  # words outside the vocabulary that a worker remembers
 
 
@@ -177,7 +179,7 @@ def _best(edges: Column) -> Column:
 
 
 def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY) -> DataFrame:
-    """docs with ids (array<int>), n_pieces, and decoded (the text made from the ids)."""
+    """docs with ids (array<int>), n_pieces, ids_crc32 (unsigned, of the ids as little-endian 32-bit integers), and decoded (the text made from the ids)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     table = pieces(model)
@@ -204,16 +206,10 @@ def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY) -> DataFra
                 decoded.append(here.decode(ids[-1].tolist()))
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             flat = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32())
-            new = [pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array([len(x) for x in ids], pa.int64()), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(b.num_columns)], *new], [*b.schema.names, "ids", "n_pieces", "decoded"])
+            new = [pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(b.num_columns)], *new], [*b.schema.names, *_ADDED])
 
-    plain = docs.drop("ids", "n_pieces", "decoded").withColumn("text", F.col("text").cast("string"))
+    plain = docs.drop(*_ADDED).withColumn("text", F.col("text").cast("string"))
     at = plain.columns.index("text")
-    schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()), T.StructField("decoded", T.StringType())])
+    schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("decoded", T.StringType())])
     return plain.mapInArrow(run, schema)
-
-
-def ids_crc32(ids: Column) -> Column:
-    """Unsigned crc32 of the ids as little-endian 32-bit integers (ids below 65,536)."""
-    little = F.array_join(F.transform(ids, lambda i: F.concat(F.substring(F.lpad(F.hex(i), 8, "0"), 7, 2), F.substring(F.lpad(F.hex(i), 8, "0"), 5, 2), F.lit("0000"))), "")
-    return F.crc32(F.unhex(little))
