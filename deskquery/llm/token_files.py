@@ -46,7 +46,7 @@ BLOCK = 1 << 14
 END_ID = 1
 _HEAD = struct.Struct("<IIQQQ")  # bits, block, ids, documents, blocks
 _WORDS = re.compile(r"[^ \t-\r]+").findall  # runs without ASCII white space
-_MARKS = re.compile(r"(.*[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([!-/:-@\[-`{-~]+)", re.DOTALL).fullmatch  # a letter or digit, then marks
+_MARKS = re.compile(r"(.*[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([!-/:-@\[-`{-~]+)", re.DOTALL).fullmatch  # a letter or digit, then marks; a dotted capital i folds into a letter and a mark
 _KEPT = 500_000  # words of a generation that a worker remembers
 
 

@@ -174,7 +174,7 @@ def test_random_access(tmp_path):
 
 
 def test_token_files(spark):
-    rows = [*ODD, (80, "it's <|endoftext|>done a\x1cb c\u0301 d \u0301 ΑΣ İ"), (81, "x  y\u2003z\x85q")]
+    rows = [*ODD, (80, "it's <|endoftext|>done a\x1cb c\u0301 d \u0301 ΑΣ İ İ_. éÉß, Àb!!"), (81, "x  y\u2003z\x85q")]
     tokenizer = Tokenizer.from_file(WORDS)
     got = sorted(token_files.read_back(token_files.write(docs(spark, rows), WORDS, files=3)).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
