@@ -167,7 +167,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [_WORDS(t) for t in texts]
-        new = {w: _parts(w) for w in self.words.missing({w for words in split for w in words})}
+        new = {w: _parts(w) for w in self.words.missing(set().union(*split))}
         stems = list(self.stems.missing({p for parts in new.values() for p in parts}))
         for at in range(0, len(stems), 10_000):
             part = stems[at : at + 10_000]
@@ -179,6 +179,12 @@ class Encoder:
         return [np.frombuffer(b"".join(map(get, words)) + end, "<u4") for words in split]
 
 
+@cache
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker, so that a task starts with the words of those before."""
+    return Encoder(path)
+
+
 def _parts(word: str) -> tuple[str, ...]:
     """Stem and marks. Only plain ASCII is folded here: other letters may combine before the tokenizer folds them."""
     if "<|" in word:
@@ -214,7 +220,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, files: int
     bits = vocabulary_bits(tokenizer)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for b in batches:
             ids = encoder.encode(b.column(1).to_pylist())
             places = np.searchsorted(np.array(bounds), b.column(0).fill_null(-(2**63)).to_numpy(zero_copy_only=False).astype(float), "right")
