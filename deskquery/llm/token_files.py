@@ -47,6 +47,7 @@ END_ID = 1
 _HEAD = struct.Struct("<IIQQQ")  # bits, block, ids, documents, blocks
 _WORDS = re.compile(r"[^ \t-\r]+").findall  # runs without ASCII white space
 _MARKS = re.compile(r"(.*[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([!-/:-@\[-`{-~]+)", re.DOTALL).fullmatch  # a letter or digit, then marks; a dotted capital i folds into a letter and a mark
+_LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch  # letters that stay apart under NFC
 _KEPT = 500_000  # words of a generation that a worker remembers
 
 
@@ -158,17 +159,25 @@ def vocabulary_bits(path: str) -> int:
 
 class Encoder:
     """The tokenizer, asked once per stem: it drops white space, folds case and cuts a word before marks that follow a letter or digit,
-    so a text's ids are those of its words' stems and of the marks behind them.
+    so a text's ids are those of its words' stems and of the marks behind them. Stems of Latin letters alone are one token of its
+    pre-tokenizer, so they go straight to its model, with each letter as its normalizer and pre-tokenizer write it.
 
     Two generations of words and stems are remembered: when the newer is full, the older goes, and what is still in use comes back."""
 
     def __init__(self, path: str):
         self.tokenizer, self.words, self.stems = _tokenizer(path), _Memory(), _Memory()
+        self.model, folded = self.tokenizer.model, self.tokenizer.normalizer.normalize_str
+        self.written = {i: self.tokenizer.pre_tokenizer.pre_tokenize_str(folded(chr(i)))[0][0] for i in range(256) if _LETTERS(chr(i))}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [_WORDS(t) for t in texts]
         new = {w: _parts(w) for w in self.words.missing(set().union(*split))}
-        stems = list(self.stems.missing({p for parts in new.values() for p in parts}))
+        stems = []
+        for stem in self.stems.missing({p for parts in new.values() for p in parts}):
+            if _LETTERS(stem):
+                self.stems.known[stem] = np.array([t.id for t in self.model.tokenize(stem.translate(self.written))], "<u4").tobytes()
+            else:
+                stems.append(stem)
         for at in range(0, len(stems), 10_000):
             part = stems[at : at + 10_000]
             for stem, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
