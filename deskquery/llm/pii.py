@@ -46,8 +46,8 @@ MORE = (
     ("phone", r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{4}(?![0-9])"),
     ("ip", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])"),
 )
-#: What a text must hold for a kind to be looked for at all.
-_NEEDS = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9]{4}", "phone": "\\+[0-9]"}
+#: What a text must hold for a kind to be looked for at all: every match of the kind's patterns holds it.
+_NEEDS = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9](?:[\\x20-]?[0-9]){11}", "phone": "\\+[0-9]"}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _WORDS = {1: "phone|call|tel|mobile|fax", 2: "card|visa|credit|pay", 3: "mail|contact|write", 4: "address|host|server|login"}
 #: Feature ranges: values 0 to the number given.

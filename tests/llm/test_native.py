@@ -109,6 +109,20 @@ def test_pii(spark):
     assert pii.fit(table.limit(0)).trees == []
 
 
+@pytest.mark.parametrize("group", [1, 2, 3, 4, 16])
+@pytest.mark.parametrize("sep", [" ", "-"])
+def test_pii_card_groups(spark, group, sep):
+    number = "4111111111111111"
+    card = sep.join(number[i : i + group] for i in range(0, 16, group))
+    rows = docs(spark, [(1, f"pay {card}"), (2, f"pay {card} now"), (3, f"in 2024 pay {card}x")])
+    table = rows.select("doc_id", "text", pii.candidates(F.col("text")).alias("spans"))
+    model = pii.boost([])
+    got = {r.doc_id: (r.text, r.base) for r in table.select("doc_id", "text", pii.listed(pii.chosen(F.col("spans"), model)).alias("base")).collect()}
+    for text, base in got.values():
+        assert base == ",".join(base_spans(text)) and base.startswith("card:")
+    assert {r.doc_id: r.text for r in pii.redacted(rows, model).collect()} == {1: "pay <card>", 2: "pay <card> now", 3: "in 2024 pay <card>x"}
+
+
 def test_pii_learns(spark):
     good, bad = "see 4111111111111111 now", "see 4111111111111112 now"
     rows = [(i, good if i % 2 else bad) for i in range(200)] + [(999, "two 4111111111111111 4111111111111111 cards")]
