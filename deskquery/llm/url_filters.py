@@ -8,7 +8,9 @@ label), a beta prior is fitted to each level from the spread of its rates
 (method of moments for the beta-binomial), and the estimate is shrunk from the
 suffix to the domain to the host. A page is blocked when the lower bound of its
 host's posterior, the mean less ``Z`` standard deviations, passes
-``THRESHOLD``; a host without outcomes keeps a wide posterior and is allowed.
+``THRESHOLD``. A host without outcomes has its domain's mean, else its suffix's,
+and no more certainty than the host prior: it is blocked only where that mean is
+so high that even this wide bound passes.
 
 Cases: null urls and those without ``://`` have an empty host and path and are
 allowed; rows that repeat are judged and counted as often; urls of any length
@@ -74,7 +76,7 @@ def _strength(counts: DataFrame) -> tuple[float, float]:
 def reputation(labelled: DataFrame) -> DataFrame:
     """Per host of the labelled pages (host, bad 0 or 1): bound, the lower bound of its posterior blocked rate, and mean.
 
-    Also one row per domain and per suffix, for hosts without outcomes. key is host, domain or suffix with level 2, 1, 0."""
+    Also one row per domain and per suffix, for hosts without outcomes: their bound is of the host prior alone, whatever the outcomes of others. key is host, domain or suffix with level 2, 1, 0."""
     host = labelled.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("r")).withColumns(levels(F.col("host")))
     domain = host.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
     suffix = domain.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
@@ -83,7 +85,8 @@ def reputation(labelled: DataFrame) -> DataFrame:
     def posterior(df: DataFrame, prior: Column, k: float, keep: list[str], level: int) -> DataFrame:
         a, total = F.col("r") + prior * k, F.col("n") + F.lit(k)
         m = a / total
-        return df.select(*keep, F.lit(level).alias("level"), m.alias(f"m{level}"), (m - Z * F.sqrt(m * (1 - m) / (total + 1))).alias("bound"))
+        certain = total if level == 2 else F.lit(k2)
+        return df.select(*keep, F.lit(level).alias("level"), m.alias(f"m{level}"), (m - Z * F.sqrt(m * (1 - m) / (certain + 1))).alias("bound"))
 
     s = posterior(suffix, F.lit(mean), k0, ["suffix"], 0)
     d = posterior(domain.join(s.select("suffix", "m0"), "suffix"), F.col("m0"), k1, ["suffix", "domain"], 1)

@@ -158,5 +158,18 @@ def test_urls(spark):
     assert out[0] == "block" and out[900] == "allow"
 
 
+def test_urls_without_outcomes(spark):
+    # Hosts that are bad or good throughout: nothing is known of a host of its own, however many outcomes its suffix has.
+    many = [(i, f"http://h{i % 40}.net/es/{i}") for i in range(4000) if i % 40 < 30] + [(i, f"http://h{i % 40}.net/ok/{i}") for i in range(4000) if i % 40 >= 30]
+    rules = (("block", "net", "/es/"), ("allow", "net", "/ok/"))
+    pages = spark.createDataFrame([*many, (9000, "http://new.net/en/"), (9001, "http://h1.net/en/"), (9002, "http://h35.net/en/")], "page_id long, url string")
+    out = {r.page_id: r.verdict for r in url_filters.judge(pages, rules).filter("page_id >= 9000").collect()}
+    assert out == {9000: "allow", 9001: "block", 9002: "allow"}
+    # Where every outcome of the suffix is bad the mean itself is certain (row 901 of test_urls).
+    many = [(i, f"http://spam.net/{'es' if i % 2 else 'en'}/{i}") for i in range(400)] + [(900, "http://ok.com/a"), (901, "http://new.net/en/")]
+    out = {r.page_id: r.verdict for r in url_filters.judge(spark.createDataFrame(many, "page_id long, url string")).collect()}
+    assert out[901] == "block"
+
+
 def test_digest_of_nothing(spark):
     assert spark.range(1).select(F.sha2(F.concat_ws(",", F.array().cast("array<string>")), 256)).first()[0] == hashlib.sha256(b"").hexdigest()
