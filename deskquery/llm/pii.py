@@ -1,9 +1,9 @@
 """Personal data by candidate gradient boosting.
 
-Generators propose spans with a wide net: the base patterns, and tighter
-patterns that also look inside runs which a base pattern swallows whole (two
-card numbers with a space between are one run that fails). Candidates may
-overlap. Spans that a base pattern accepts always stay.
+Generators propose spans: the base patterns, and tighter patterns that also look
+inside runs which a base pattern swallows whole (two card numbers with a space
+between are one run that fails). Other shapes, such as phone numbers without a
+plus or emails spelled out, are never proposed. Candidates may overlap. Spans that a base pattern accepts always stay.
 
 The model decides on the rest. Its examples are the base patterns' own matches,
 accepted or not; format features (digits, groups, checksum, octets) and context
