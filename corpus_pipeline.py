@@ -27,8 +27,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold windows of fewer than two benchmark items."""
-    return decontamination.clean(docs, read(spark, sf_dir, "benchmark")).select(*docs.columns)
+    """Documents without any verified window of a benchmark item."""
+    return decontamination.clean(docs, read(spark, sf_dir, "benchmark"), min_items=1)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
