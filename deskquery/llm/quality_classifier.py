@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, cut
+from .common import cut, slices
 
 SHRINKAGE = 0.1
 FLOOR = 1e-3  # variance that every feature has at least
@@ -52,10 +52,8 @@ def statistics(text: str | None) -> list[float]:
 
 def with_statistics(docs: DataFrame) -> DataFrame:
     """doc_id and f, the statistics, of every row."""
-    bounded_batches(docs.sparkSession)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             rows = [statistics(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "f"])
 

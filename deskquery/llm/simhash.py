@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, cut
+from .common import cut, slices
 
 SHINGLE = 4
 SEED = 42
@@ -66,10 +66,8 @@ def fingerprint(text: str | None) -> int:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash and fp of every row."""
-    bounded_batches(docs.sparkSession)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 2):
             fps = pa.array([fingerprint(t) for t in b.column(2).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps], ["doc_id", "text_hash", "fp"])
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import slices
 
 LOSS = -0.5  # of a token that is not toxic
 STANDS_OUT = 3.0  # standard errors above zero, of a candidate by documents
@@ -110,8 +110,6 @@ class Model:
 
 def count(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """token (a mark) and the number of labelled documents of either class that hold it, n0 and n1; the empty token counts the documents, a space their tokens."""
-    bounded_batches(docs.sparkSession)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
 
@@ -119,7 +117,7 @@ def count(docs: DataFrame, labelled: DataFrame) -> DataFrame:
             keys = list(seen[0].keys() | seen[1].keys())
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in seen)], ["token", "n0", "n1"])
 
-        for b in batches:
+        for b in slices(batches, 0):
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = tokens(text)
                 seen[label].update({m for w in set(words) for m in marks(w)})
@@ -162,7 +160,7 @@ def contexts(docs: DataFrame, labelled: DataFrame, candidates: frozenset[str]) -
     """Per candidate token: the distinct words with their neighbours that it marks in the labelled documents of either class, n0 and n1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 0):
             found = set()
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = ["", *tokens(text), ""]
@@ -194,10 +192,8 @@ def _decay(chances: list[tuple[float, float]]) -> float:
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score of every row."""
-    bounded_batches(docs.sparkSession)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([model.score(t) for t in b.column(1).to_pylist()], pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")

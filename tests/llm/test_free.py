@@ -187,6 +187,34 @@ def test_token_files(spark):
     assert token_files.read_back(token_files.write(docs(spark, []), WORDS)).count() == 0
 
 
+def test_other_tokenizer(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")  # keeps white space and case, so words depend on their neighbours
+    assert not token_files.Encoder(path).by_word and token_files.Encoder(WORDS).by_word
+    tokenizer = Tokenizer.from_file(path)
+    want = {i: zlib.crc32(np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()) for i, t in ODD if i != 8}
+    got = {r.doc_id: r.ids_crc32 for r in token_files.read_back(token_files.write(docs(spark, [r for r in ODD if r[0] != 8]), path, files=3)).collect()}
+    assert got == want
+
+
+def test_generations(monkeypatch):
+    monkeypatch.setattr(token_files, "_KEPT", 20)
+    rng, tokenizer = random.Random(9), Tokenizer.from_file(WORDS)
+    encoder = token_files.Encoder(WORDS)
+    for _ in range(30):
+        texts = [" ".join(rng.choices(["a1.", "Über!", "it's", "x_y", "don", "NO", "end.", "z9", "é", "wide"], k=8)) + f" w{rng.randrange(40)}" for _ in range(3)]
+        assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_hot_ids(spark):
+    rows = [(7, f"copy {i}") for i in range(300)] + [(None, "none") for _ in range(200)] + [(i, "x") for i in range(100)]
+    manifest = token_files.write(docs(spark, rows), WORDS, files=12)
+    files = manifest.collect()
+    assert sum(f.n_docs for f in files) == 600 and max(f.n_docs for f in files) <= 120 and len(files) >= 8
+    got = sorted(token_files.read_back(manifest).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 200 + sorted(i for i, _ in rows if i is not None)
+    assert got[0].start == 0 and all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
+
+
 def test_quality(spark):
     sf = "/root/testdata/sf0.1"
     d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
