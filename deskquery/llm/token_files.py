@@ -13,23 +13,28 @@ unpacking the blocks it lies in, with numpy and without the rest.
 
 Writing: documents are encoded where they lie and their packed ids, not their
 texts, are dealt to ranges of doc_id, whose bounds are quantiles of that column
-alone. Every task writes its range to a file under a name of its own, so a task
+alone; their number follows the bytes of all texts. An id that fills several
+quantiles gets as many ranges, and so do null ids, among which their rows are
+spread, so no task holds a frequent id. Every task writes its range to a file under a name of its own, so a task
 that runs again leaves the first try unused, and returns what it wrote; only
 files of the tasks that counted are read.
 
-Cases: a null or empty text has only the end id; null ids come first; repeated
-rows are written as often; an empty table writes no file; texts of any length
+Cases: a null or empty text has only the end id; ids are whole numbers (others
+raise), null ids come first, rows of equal ids in any order; repeated rows are
+written as often; an empty table writes no file; texts of any length
 work, in memory proportional to one batch and the index of one file; other
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -39,7 +44,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, shared_folder
+from .common import shared_folder, slices
 
 MAGIC = b"TOKBITS1"
 BLOCK = 1 << 14
@@ -49,6 +54,7 @@ _WORDS = re.compile(r"[^ \t-\r]+").findall  # runs without ASCII white space
 _MARKS = re.compile(r"(.*[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([!-/:-@\[-`{-~]+)", re.DOTALL).fullmatch  # a letter or digit, then marks; a dotted capital i folds into a letter and a mark
 _LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch  # letters that stay apart under NFC
 _KEPT = 500_000  # words of a generation that a worker remembers
+FILE_TEXT = 256 << 20  # bytes of text that a range has at most, on average
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
@@ -157,35 +163,74 @@ def vocabulary_bits(path: str) -> int:
     return max(1, (_tokenizer(path).get_vocab_size(with_added_tokens=True) - 1).bit_length())
 
 
+#: The normalizer and pre-tokenizer of tokenizers whose words' ids do not depend on their neighbours.
+_DROPS_SPACE = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+
+
 class Encoder:
-    """The tokenizer, asked once per stem: it drops white space, folds case and cuts a word before marks that follow a letter or digit,
-    so a text's ids are those of its words' stems and of the marks behind them. Stems of Latin letters alone are one token of its
-    pre-tokenizer, so they go straight to its model, with each letter as its normalizer and pre-tokenizer write it.
+    """Ids of texts (UTF-8 bytes), with the end id.
 
-    Two generations of words and stems are remembered: when the newer is full, the older goes, and what is still in use comes back."""
+    A tokenizer with the settings _DROPS_SPACE is asked once per stem: it drops white space, folds case and cuts a word before
+    marks that follow a letter or digit, so a text's ids are those of its words' stems and of the marks behind them. Any other
+    tokenizer is asked for whole texts."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.words, self.stems = _tokenizer(path), _Memory(), _Memory()
-        self.model, folded = self.tokenizer.model, self.tokenizer.normalizer.normalize_str
-        self.written = {i: self.tokenizer.pre_tokenizer.pre_tokenize_str(folded(chr(i)))[0][0] for i in range(256) if _LETTERS(chr(i))}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [_WORDS(t) for t in texts]
-        new = {w: _parts(w) for w in self.words.missing(set().union(*split))}
-        stems = []
-        for stem in self.stems.missing({p for parts in new.values() for p in parts}):
-            if _LETTERS(stem):
-                self.stems.known[stem] = np.array([t.id for t in self.model.tokenize(stem.translate(self.written))], "<u4").tobytes()
+        self.tokenizer = _tokenizer(path)
+        settings = json.loads(self.tokenizer.to_str())
+        self.by_word = (settings["normalizer"], settings["pre_tokenizer"]) == _DROPS_SPACE and all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["normalized"]) for t in settings["added_tokens"])
+        self.words = _Words(self.tokenizer) if self.by_word else None
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        if not self.by_word:
+            found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+            return [np.array([*e.ids, END_ID], "<u4") for e in found]
+        self.words.renew()
+        end, get = array("I", [END_ID]).tobytes(), self.words.__getitem__
+        return [np.frombuffer(b"".join(map(get, t.split())) + end, "<u4") for t in texts]  # bytes: only ASCII white space splits
+
+
+class _Words(dict):
+    """UTF-8 word: its ids as bytes. A new word is cut into its stem and the marks behind, which are words themselves.
+
+    Stems of Latin letters alone are one token of the pre-tokenizer, so they go straight to the model, with each letter as normalizer
+    and pre-tokenizer write it. Two generations are remembered: when the newer is full, the older goes, and what is still in use comes back."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.tokenize, self.older = tokenizer, tokenizer.model.tokenize, {}
+        folded = tokenizer.normalizer.normalize_str
+        self.written = {i: tokenizer.pre_tokenizer.pre_tokenize_str(folded(chr(i)))[0][0] for i in range(256) if _LETTERS(chr(i))}
+
+    def renew(self) -> None:
+        if len(self) > _KEPT:
+            self.older = dict(self)
+            self.clear()
+
+    def __missing__(self, raw: bytes) -> bytes:
+        found = self.older.get(raw)
+        if found is None:
+            parts = _parts(raw)
+            if len(parts) > 1:
+                found = self[parts[0]] + self[parts[1]]
+            elif parts[0] != raw:
+                found = self[parts[0]]
             else:
-                stems.append(stem)
-        for at in range(0, len(stems), 10_000):
-            part = stems[at : at + 10_000]
-            for stem, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.stems.known[stem] = np.array(e.ids, "<u4").tobytes()
-        known = self.stems.known
-        self.words.known.update((w, b"".join(known[p] for p in parts)) for w, parts in new.items())
-        end, get = np.array([END_ID], "<u4").tobytes(), self.words.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)) + end, "<u4") for words in split]
+                found = self.asked(raw.decode("utf-8", "replace"))
+        self[raw] = found
+        return found
+
+    def asked(self, stem: str) -> bytes:
+        if _LETTERS(stem):
+            return array("I", [t.id for t in self.tokenize(stem.translate(self.written))]).tobytes()
+        return array("I", self.tokenizer.encode(stem, add_special_tokens=False).ids).tobytes()
 
 
 @cache
@@ -194,47 +239,55 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _parts(word: str) -> tuple[str, ...]:
+def _parts(raw: bytes) -> tuple[bytes, ...]:
     """Stem and marks. Only plain ASCII is folded here: other letters may combine before the tokenizer folds them."""
-    if "<|" in word:
-        return (word,)  # may hold a special token
-    m = _MARKS(word)
-    stem, *marks = (m[1], m[2]) if m else (word,)
-    return (stem.lower() if stem.isascii() else stem, *marks)
-
-
-class _Memory:
-    def __init__(self):
-        self.known, self.older = {}, {}
-
-    def missing(self, keys: set[str]) -> set[str]:
-        """Keys that are not known; those of the older generation become known again."""
-        if len(self.known) > _KEPT:
-            self.known, self.older = {}, self.known
-        missing = keys - self.known.keys()
-        self.known.update((k, self.older[k]) for k in missing & self.older.keys())
-        return missing - self.older.keys()
+    if raw.isalnum():  # ASCII letters and digits
+        return (raw.lower(),)
+    word = raw.decode("utf-8", "replace")
+    m = None if "<|" in word else _MARKS(word)  # that may be a special token
+    if m:
+        stem = m[1].encode()
+        return (stem.lower() if stem.isascii() else stem, m[2].encode())
+    return (raw.lower() if raw.isascii() and "<|" not in word else raw,)
+
+
+def ranges(rows: DataFrame, files: int | None) -> tuple[np.ndarray, int]:
+    """The bounds of the ranges of doc_id, quantiles that repeat where one id is frequent, and how many ranges the null ids take."""
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("known"), F.sum(F.octet_length("text")).alias("size")).first()
+    if files is None:
+        files = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(found.size or 0) // FILE_TEXT))
+    nulls = files * (found.n - found.known) // max(found.n, 1)
+    rest = files - nulls
+    return np.array(sorted(rows.approxQuantile("doc_id", [i / rest for i in range(1, rest)], 0.1 / rest)) if rest > 1 and found.known else []), nulls  # files numbers
+
+
+def range_of(ids: pa.Array, spread: np.ndarray, bounds: np.ndarray, nulls: int) -> np.ndarray:
+    """The range of each id. Those that an id fills whole, and those of null ids, are dealt by spread, any numbers from 0."""
+    known = ids.fill_null(0).to_numpy(zero_copy_only=False)
+    first, last = (np.searchsorted(bounds, known.astype(float), side) for side in ("left", "right"))
+    own = np.where(last - first > 1, first + 1 + spread % np.maximum(last - first, 1), last) + nulls
+    return np.where(np.asarray(ids.is_null()), spread % max(nulls, 1), own)
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str | None = None, files: int | None = None) -> DataFrame:
     """Writes the files (at once) and returns one row each, in order: file, n_docs, n_ids, start (ids in the files before).
 
-    folder: where, a fresh one in the shared folder if not given; files: how many ranges, as many as shuffle partitions if not given."""
+    folder: where, a fresh one in the shared folder if not given; files: how many ranges, if not given as many as shuffle partitions or as FILE_TEXT asks for."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     folder = folder or shared_folder(spark)
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    bounds = sorted(set(rows.approxQuantile("doc_id", [i / files for i in range(1, files)], 0.1 / files)))  # files numbers
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
+    bounds, nulls = ranges(rows, files)
+    n_ranges = len(bounds) + 1 + nulls
     bits = vocabulary_bits(tokenizer)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
-        for b in batches:
+        for b in slices(batches, 1):
             ids = encoder.encode(b.column(1).to_pylist())
-            places = np.searchsorted(np.array(bounds), b.column(0).fill_null(-(2**63)).to_numpy(zero_copy_only=False).astype(float), "right")
-            counts = pa.array([len(x) for x in ids], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), b.column(0), counts, pa.array([pack_bits(x, bits) for x in ids], pa.binary())], ["range", "doc_id", "n", "packed"])
+            packed = [pack_bits(x, bits) for x in ids]
+            spread = np.fromiter(map(zlib.crc32, packed), np.int64, len(packed)) + np.arange(len(packed))
+            places = range_of(b.column(0), spread, bounds, nulls)
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), b.column(0), pa.array([len(x) for x in ids], pa.int32()), pa.array(packed, pa.binary())], ["range", "doc_id", "n", "packed"])
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = part = path = None
@@ -254,7 +307,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, files: int
         if writer:
             yield done()
 
-    dealt = rows.mapInArrow(encode, "range int, doc_id long, n int, packed binary").repartitionById(files, "range")
+    dealt = rows.mapInArrow(encode, "range int, doc_id long, n int, packed binary").repartitionById(n_ranges, "range")
     wrote = dealt.sortWithinPartitions(F.col("range"), F.col("doc_id").asc_nulls_first(), F.col("packed")).mapInArrow(save, "range int, file string, n_docs long, n_ids long")
     found, start, rows_ = sorted(wrote.collect()), 0, []  # one row per file
     for r in found:
