@@ -1,21 +1,26 @@
 """URL filters: rules first, then the reputation of the host.
 
-Rules judge a page by host and path; the longest that fits wins. The pages that
-a rule judges are the labelled outcomes (blocked 1, allowed 0). For the others
-the blocked rate of the host is estimated by empirical Bayes: outcomes are
-counted per host, registered domain (the last two labels) and suffix (the last
-label), a beta prior is fitted to each level from the spread of its rates
-(method of moments for the beta-binomial), and the estimate is shrunk from the
-suffix to the domain to the host. A page is blocked when the lower bound of its
-host's posterior, the mean less ``Z`` standard deviations, passes
-``THRESHOLD``. A host without outcomes has its domain's mean, else its suffix's,
-and no more certainty than the host prior: it is blocked only where that mean is
-so high that even this wide bound passes.
+Rules judge a page by host and path; the longest that fits wins. The other pages
+are judged by their host's reputation, by empirical Bayes. Outcomes come from
+the pages whose host some rule speaks of, whatever their path: 1 where the rules
+block the page, 0 where they allow it or, having looked at its host, let it
+stand. So a host that only block rules reach collects outcomes of both kinds,
+and is blocked only where most of its pages are; hosts that no rule reaches have
+no outcomes. Outcomes are counted per host, registered domain (one label and the
+public suffix) and public suffix, a beta prior is fitted to each level from the
+spread of its rates (method of moments for the beta-binomial), and the estimate
+is shrunk from the suffix to the domain to the host. A page is blocked when the
+lower bound of its host's posterior, the mean less ``Z`` standard deviations,
+passes ``THRESHOLD``. A host without outcomes is one more draw from the hosts of
+its domain, else from the domains of its suffix: however many outcomes these
+have, each counts once, so that one bad domain says little of its neighbours.
 
 Cases: null urls and those without ``://`` have an empty host and path and are
-allowed; rows that repeat are judged and counted as often; urls of any length
-work; an empty table gives an empty result and fits no prior; other columns
-pass through, and those with the names of the results are replaced.
+allowed; a numeric address is its own domain and suffix, and a port belongs to
+the host but to neither of these; rows that repeat are judged and counted as
+often; urls of any length work; an empty table gives an empty result and fits
+no prior; other columns pass through, whatever their names, and those with the
+names of the results are replaced. Pages of a frequent host are not shuffled.
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import boxed, cut, hot_keys, join_hot
+
 #: (verdict, host, path prefix). Rules are configuration: a chain of tests, MAX_RULES at most.
 RULES = (
     ("allow", "com", "/"),
@@ -32,30 +39,41 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 MAX_RULES = 1000
+#: Public suffixes of two labels, from the public suffix list. All other suffixes are taken to have one.
+SUFFIXES = (
+    "ac.jp", "ac.nz", "ac.uk", "ac.za", "co.id", "co.il", "co.in", "co.jp", "co.ke", "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au", "com.bd", "com.br", "com.cn", "com.co",
+    "com.eg", "com.hk", "com.mx", "com.my", "com.ng", "com.pe", "com.ph", "com.pk", "com.sa", "com.sg", "com.tr", "com.tw", "com.ua", "com.vn", "edu.au", "edu.cn", "go.jp", "gob.mx", "gov.au", "gov.br",
+    "gov.cn", "gov.in", "gov.uk", "ltd.uk", "me.uk", "ne.jp", "net.au", "net.br", "net.cn", "net.nz", "net.uk", "or.jp", "or.kr", "org.au", "org.br", "org.cn", "org.nz", "org.uk", "org.za", "sch.uk",
+)
 Z = 2.0
 THRESHOLD = 0.5
 #: Bounds of a prior's strength, in outcomes.
 WEAKEST, STRONGEST = 0.5, 1000.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_ADDED = ("host", "path", "rule", "verdict")
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
     """Host, lower-cased, and path."""
-    after = F.when(F.instr(url, "://") > 0, F.expr("substring(url, instr(url, '://') + 3)")).otherwise("")
+    after = F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url))).otherwise("")
     host = F.regexp_extract(after, r"\A([^/?#]*)", 1)
     path = F.regexp_extract(after, r"(?s)\A[^/?#]*([^?#]*)", 1)
     return F.translate(host, _UPPER, _LOWER), path
 
 
-def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
-    """The longest rule that fits, as text, and its verdict; null without one."""
+def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column, Column]:
+    """The longest rule that fits, as text, and its verdict, null without one; and whether any rule speaks of the host."""
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; {MAX_RULES} at most")
     name = verdict = F.lit(None).cast("string")
+    reached = F.lit(False)
     for v, h, p in sorted(rules, key=lambda r: len(r[1] + r[2])):
-        fits = ((host == h) | host.endswith(f".{h}")) & path.startswith(p)
+        inside = (host == h) | host.endswith(f".{h}")
+        fits = inside & path.startswith(p)
         name, verdict = F.when(fits, h + p).otherwise(name), F.when(fits, v).otherwise(verdict)
-    return name, verdict
+    for h in sorted({h for _, h, _ in rules}):
+        reached = reached | (host == h) | host.endswith(f".{h}")
+    return name, verdict, reached
 
 
 def _strength(counts: DataFrame) -> tuple[float, float]:
@@ -73,20 +91,21 @@ def _strength(counts: DataFrame) -> tuple[float, float]:
     return mean, min(max(strength, WEAKEST), STRONGEST)
 
 
-def reputation(labelled: DataFrame) -> DataFrame:
-    """Per host of the labelled pages (host, bad 0 or 1): bound, the lower bound of its posterior blocked rate, and mean.
+def reputation(outcomes: DataFrame) -> DataFrame:
+    """Per host of the outcomes (host, n, r: how many of its n outcomes are bad): bound, the lower bound of its posterior blocked rate, and mean.
 
-    Also one row per domain and per suffix, for hosts without outcomes: their bound is of the host prior alone, whatever the outcomes of others. key is host, domain or suffix with level 2, 1, 0."""
-    host = labelled.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("r")).withColumns(levels(F.col("host")))
-    domain = host.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
-    suffix = domain.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
+    Also one row per domain and per suffix, for hosts without outcomes: a bound from the rates of the hosts of the domain, or domains of the suffix, each counted once. key is host, domain or suffix with level 2, 1, 0."""
+    host = outcomes.withColumns(levels(F.col("host")))
+    both = [F.sum("n").alias("n"), F.sum("r").alias("r"), F.count(F.lit(1)).alias("c"), ((F.sum(F.col("r") / F.col("n")) + 0.5) / (F.count(F.lit(1)) + 1)).alias("u")]
+    domain = host.groupBy("domain", "suffix").agg(*both)
+    suffix = domain.groupBy("suffix").agg(*both)
     (mean, k0), (_, k1), (_, k2) = (_strength(x) for x in (suffix, domain, host))  # three rows of numbers
 
     def posterior(df: DataFrame, prior: Column, k: float, keep: list[str], level: int) -> DataFrame:
         a, total = F.col("r") + prior * k, F.col("n") + F.lit(k)
         m = a / total
-        certain = total if level == 2 else F.lit(k2)
-        return df.select(*keep, F.lit(level).alias("level"), m.alias(f"m{level}"), (m - Z * F.sqrt(m * (1 - m) / (certain + 1))).alias("bound"))
+        at, certain = (m, total) if level == 2 else (F.col("u"), F.col("c"))
+        return df.select(*keep, F.lit(level).alias("level"), m.alias(f"m{level}"), (at - Z * F.sqrt(at * (1 - at) / (certain + 1))).alias("bound"))
 
     s = posterior(suffix, F.lit(mean), k0, ["suffix"], 0)
     d = posterior(domain.join(s.select("suffix", "m0"), "suffix"), F.col("m0"), k1, ["suffix", "domain"], 1)
@@ -96,21 +115,32 @@ def reputation(labelled: DataFrame) -> DataFrame:
 
 
 def levels(host: Column) -> dict[str, Column]:
-    return {"domain": F.substring_index(host, ".", -2), "suffix": F.substring_index(host, ".", -1)}
+    """The registered domain and the public suffix of a host."""
+    name = F.regexp_replace(host, ":.*$", "")
+    two, address = F.substring_index(name, ".", -2), name.rlike(r"\A[0-9.]+\z")
+    known = two.isin(*SUFFIXES)
+    return {
+        "domain": F.when(address, name).when(known, F.substring_index(name, ".", -3)).otherwise(two),
+        "suffix": F.when(address, name).when(known, two).otherwise(F.substring_index(name, ".", -1)),
+    }
 
 
 def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
     """pages with host, path, rule and verdict. The url is in the column url."""
     host, path = split_url(F.col("url"))
-    rows = pages.withColumns({"host": host, "path": path})
-    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "verdict": verdict})
-    known = reputation(rows.filter("rule IS NOT NULL").select("host", (F.col("verdict") == "block").cast("long").alias("bad")))
-    # One verdict per distinct host: of the finest level that has outcomes the host's own, else its domain's, else its suffix's.
-    hosts = rows.filter("rule IS NULL").select("host").distinct().withColumns(levels(F.col("host")))
+    rows = boxed(pages, host.alias("host"), path.alias("path"))
+    rule, verdict, reached = rule_of(F.col("host"), F.col("path"), rules)
+    rows = rows.select("row", "host", "path", rule.alias("rule"), verdict.alias("verdict"), reached.alias("reached"))
+    # One row per distinct host, and one verdict: of the finest level that has outcomes the host's own, else its domain's, else its suffix's.
+    count = lambda c: F.sum(c.cast("long"))
+    hosts = cut(rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), count(F.col("reached")).alias("n"), F.coalesce(count(F.col("verdict") == "block"), F.lit(0)).alias("r")))
+    known = cut(reputation(hosts.filter("n > 0").select("host", "n", "r")))
+    judged = hosts.select("host", "pages").withColumns(levels(F.col("host")))
     for level, key in ((2, "host"), (1, "domain"), (0, "suffix")):
         at = known.filter(F.col("level") == level).select(F.col("key").alias(key), F.col("bound").alias(f"b{level}"))
-        hosts = hosts.join(at, key, "left")
-    blocked = hosts.filter(F.coalesce("b2", "b1", "b0") > threshold).select("host", F.lit("block").alias("_method"))
-    judged = rows.join(blocked, "host", "left")
-    return judged.withColumn("verdict", F.coalesce("verdict", "_method", F.lit("allow"))).select(*[f"`{c}`" for c in rows.columns])
+        judged = judged.join(at, key, "left")
+    blocked = F.coalesce(F.coalesce("b2", "b1", "b0") > threshold, F.lit(False))
+    verdicts = judged.select("host", F.when(blocked, "block").otherwise("allow").alias("method"))
+    done = join_hot(rows, verdicts, ["host"], hot_keys(hosts, ["host"], "pages"))
+    kept = [F.col("row").getField(c).alias(c) for c in pages.columns if c.lower() not in _ADDED]
+    return done.select(*kept, "host", "path", "rule", F.coalesce("verdict", "method").alias("verdict"))
