@@ -8,15 +8,19 @@ in the corpus. The place of that shingle fixes where the window would start;
 starts outside the document are discarded, and a candidate counts only if every
 shingle of the window stands at its own place, compared as text.
 
-The corpus is read once: its shingles meet the set of all benchmark shingles
+The corpus is read once: its shingles meet the hashes of all benchmark shingles,
 and the few that match are kept with their places in the shared folder, from
-which rarity, candidates and verification come. The benchmark's shingles are
-broadcast up to ``MAX_BROADCAST`` rows, and joined by a shuffle beyond that.
-
-Cases: null, empty and wordless texts have no words and no hits; null ids are
-ids like any other; documents that repeat as whole rows each get the same
+which rarity, candidates and verification come, on the shingles' text. The
+benchmark's hashes, eight bytes each, are broadcast up to ``MAX_BROADCAST`` of
+them and joined by a shuffle beyond that, in which each document's header has a
+key of its own and frequent shingles meet a broadcast table.
+
+Cases: null, empty and wordless texts have no words and no hits; null ids of
+documents and of items are ids like any other (a null item counts, and stands
+in no list of names); documents that repeat as whole rows each get the same
 result; texts of any length work, in memory proportional to one text; an empty
-benchmark hits nothing; other columns are not carried, so names cannot clash.
+benchmark hits nothing; ``contamination`` carries no other columns, and
+``clean`` leaves all as they are, so names cannot clash.
 """
 
 from __future__ import annotations
@@ -26,12 +30,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, let
+from .common import cut, hot_keys, join_hot, let
 
 WINDOW = 8
 SHINGLE = 5
-#: Rows of the broadcast table; one takes under 200 bytes, so 40 MB at most.
-MAX_BROADCAST = 200_000
+#: Hashes of the broadcast table, of eight bytes: 16 MB at most, and twice that as a table of Spark's.
+MAX_BROADCAST = 2_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -57,41 +61,44 @@ def windows(benchmark: DataFrame) -> DataFrame:
         return F.when(F.size(words) > 0, every)
 
     rows = benchmark.select("item_id", F.inline(let(plain_words(F.col("text")), cut_out)))
-    return rows.groupBy("win", "len").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
+    ids = F.collect_set(F.struct(F.col("item_id").cast("string").alias("id")))  # a struct, since sets drop nulls
+    return rows.groupBy("win", "len").agg(F.transform(ids, lambda x: x["id"]).alias("items"))
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per row of docs one header (key empty; doc_id, text_hash, n_words), and every verified window: doc_id, text_hash, start, len, items."""
+    """Per row of docs one header (doc_id, text_hash, n_words), and every verified window: doc_id, text_hash, start, len, items."""
     wins = cut(windows(benchmark))
     sizes = [r[0] for r in wins.select(F.least("len", F.lit(SHINGLE)).alias("s")).distinct().collect()]  # five values at most
     inside = lambda s: let(F.split("win", " "), lambda w: _shingles(w, s))
     parts = [wins.filter(F.least("len", F.lit(SHINGLE)) == s).select("win", "len", F.inline(inside(s))) for s in sizes]
     needs = cut(reduce(DataFrame.union, parts)) if parts else None
-    known = docs.sparkSession.createDataFrame([("",)], "key string")
-    if needs is not None:
-        known = known.union(needs.select("key").distinct())
-        if needs.count() < MAX_BROADCAST:
-            known = F.broadcast(known)
 
     def entries(words: Column) -> Column:
-        header = F.array(F.struct(F.size(words).alias("pos"), F.lit("").alias("key")))
+        header = F.array(F.struct(F.size(words).alias("pos"), F.lit(None).cast("string").alias("key")))
         return F.concat(header, *[_shingles(words, s) for s in sizes])
 
+    # A header has the hash of its text to be dealt by, and is kept whether or not that is met.
     spread = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), F.inline(let(plain_words(F.col("text")), entries)))
-    met = cut(spread.join(known, "key"))
-    headers = met.filter("key = ''").select("doc_id", "text_hash", F.col("pos").cast("long").alias("n_words"))
+    met = spread
+    if needs is not None:
+        known = needs.select(F.xxhash64("key").alias("hash")).distinct().withColumn("met", F.lit(True))
+        known = F.broadcast(known) if needs.count() <= MAX_BROADCAST else known
+        hashed = spread.withColumn("hash", F.when(F.col("key").isNull(), F.col("text_hash")).otherwise(F.xxhash64("key")))
+        met = hashed.join(known, "hash", "left").filter("key IS NULL OR met").drop("hash", "met")
+    met = cut(met)
+    headers = met.filter("key IS NULL").select("doc_id", "text_hash", F.col("pos").cast("long").alias("n_words"))
     if needs is None:
         return headers, headers.select("doc_id", "text_hash", F.lit(0).alias("start"), F.lit(0).alias("len"), F.array().cast("array<string>").alias("items")).limit(0)
-    found = met.filter("key <> ''").distinct()  # rows that repeat count once
+    found = met.filter("key IS NOT NULL").distinct()  # rows that repeat count once
 
     # The rarest shingle of each window; a window with a shingle that no document has cannot occur.
-    counts = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
     ranked = needs.join(counts, "key", "left").groupBy("win", "len").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pos", "key")).alias("r"))
     prefix = ranked.filter("r.n > 0").select("win", "len", F.col("r.pos").alias("offset"), F.col("r.key").alias("key"))
 
     start = F.col("pos") - F.col("offset")
     lengths = headers.groupBy("doc_id", "text_hash").agg(F.max("n_words").alias("n"))
-    candidates = found.join(prefix, "key").select("doc_id", "text_hash", "win", "len", start.alias("start")).filter("start >= 0").alias("c")
+    candidates = join_hot(found, prefix, ["key"], hot_keys(counts, ["key"], "n")).select("doc_id", "text_hash", "win", "len", start.alias("start")).filter("start >= 0").alias("c")
     lengths = lengths.alias("l")
     same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.text_hash") == F.col(f"{b}.text_hash"))
     candidates = candidates.join(lengths, same("c", "l")).filter(F.col("start") + F.col("len") <= F.col("n")).select("c.*")
@@ -103,7 +110,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per row of docs: doc_id, text_hash, n_words, n_hit (words inside any window), n_items and items (sorted as text)."""
+    """Per row of docs: doc_id, text_hash, n_words, n_hit (words inside any window), n_items and items (sorted as text, a null last)."""
     headers, hits = occurrences(docs, benchmark)
     places = F.sort_array(F.collect_set(F.struct("start", "len")))
     none = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
@@ -116,8 +123,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return both.select("h.doc_id", "h.text_hash", "h.n_words", F.coalesce("p.n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, min_items: int = 2) -> DataFrame:
-    """docs without those that hold windows of min_items or more items."""
+def clean(docs: DataFrame, benchmark: DataFrame, min_items: int = 1) -> DataFrame:
+    """docs without those that hold verified windows of min_items or more items."""
     bad = contamination(docs, benchmark).filter(F.col("n_items") >= min_items).select("doc_id", "text_hash").distinct().alias("b")
     d = docs.alias("d")
     return d.join(bad, F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64("d.text") == F.col("b.text_hash")), "left_anti")
