@@ -22,10 +22,15 @@ Copies cost nothing here: the search sees distinct fingerprints. Components
 come from min-label propagation with pointer jumping, each round a table in the
 shared folder.
 
+Frequent fingerprints, nodes with many links and the labels of large components
+meet a broadcast table of bounded size, so that no task holds their rows.
+
 Cases: null, empty and blank texts have the fingerprint zero and link to one
-another; null ids take part and never name a component unless it has no other;
-repeated rows give repeated rows; an empty table gives an empty result; other
-columns are not carried, so their names cannot clash.
+another; ids are whole numbers (others raise), null ids take part and never name
+a component unless it has no other; repeated rows give repeated rows (and one of
+them stays in ``first_of_each``); texts of any length work; an empty table gives
+an empty result; ``near_duplicates`` carries no other columns, and
+``first_of_each`` keeps all as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices
+from .common import boxed, cut, hot_keys, join_hot, remove, shared_folder, slices, unboxed
 
 SHINGLE = 4
 SEED = 42
@@ -176,34 +181,43 @@ def _unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 def components(edges: DataFrame) -> DataFrame:
     """node and label, the smallest node it is connected to, for every node of the edges (a, b)."""
-    both = cut(edges.select(F.col("a").alias("node"), F.col("b").alias("next")).union(edges.select("b", "a")))
-    labels = cut(both.groupBy("node").agg(F.min("next").alias("m")).select("node", F.least("node", "m").alias("label")))
+    spark = edges.sparkSession
+    folder = lambda: shared_folder(spark)
+    both = cut(edges.select(F.col("a").alias("node"), F.col("b").alias("next")).union(edges.select("b", "a")), at_both := folder())
+    hubs = hot_keys(both.groupBy("next").agg(F.count(F.lit(1)).alias("n")), ["next"], "n")  # many link to one, as in a star
+    labels = cut(both.groupBy("node").agg(F.min("next").alias("m")).select("node", F.least("node", "m").alias("label")), old := folder())
     while True:
-        seen = both.join(labels.select(F.col("node").alias("next"), "label"), "next").groupBy("node").agg(F.min("label").alias("seen"))
-        hooked = labels.join(seen, "node").select("node", F.least("label", "seen").alias("label"), F.col("label").alias("old"))
+        seen = join_hot(both, labels.select(F.col("node").alias("next"), "label"), ["next"], hubs).groupBy("node").agg(F.min("label").alias("seen"))
+        hooked = cut(labels.join(seen, "node").select("node", F.least("label", "seen").alias("label"), F.col("label").alias("old")), at_hooked := folder())
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        jumped = cut(hooked.join(up, "label").select("node", F.least("label", "up").alias("label"), (F.least("label", "up") != F.col("old")).alias("moved")))
+        large = hot_keys(hooked.groupBy("label").agg(F.count(F.lit(1)).alias("n")), ["label"], "n")  # a large component shares its label
+        jumped = cut(join_hot(hooked, up, ["label"], large).select("node", F.least("label", "up").alias("label"), (F.least("label", "up") != F.col("old")).alias("moved")), new := folder())
         labels = jumped.select("node", "label")
+        for path in (old, at_hooked):
+            remove(spark, path)
+        old = new
         if jumped.filter("moved").isEmpty():
+            remove(spark, at_both)
             return labels
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, text_hash, fp, component_id (the smallest doc_id reachable) and root (the component's smallest fingerprint)."""
     prints = cut(fingerprints(docs))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
     found = components(links(distinct.select("fp"))).withColumnsRenamed({"node": "fp", "label": "root"})
-    named = found.join(distinct, "fp").groupBy("root").agg(F.min("first_id").alias("component_id"))
-    grouped = found.join(named, "root").select("fp", "root", "component_id")
-    classes = cut(distinct.join(grouped, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")))
-    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
+    named = found.join(distinct.drop("copies"), "fp").groupBy("root").agg(F.min("first_id").alias("component_id"))
+    large = hot_keys(found.groupBy("root").agg(F.count(F.lit(1)).alias("n")), ["root"], "n")
+    grouped = join_hot(found, named, ["root"], large).select("fp", "root", "component_id")
+    classes = cut(distinct.join(grouped, "fp", "left").select("fp", "copies", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")))
+    return join_hot(prints, classes.drop("copies"), ["fp"], hot_keys(classes, ["fp"], "copies")).select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
     """docs with one row of each component: that of the smallest id (of equal ids the smallest text hash, of equal rows any)."""
     found = near_duplicates(docs)
-    kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
-    ids = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64("text")}).alias("d")
+    kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("k")).select("k.doc_id", "k.text_hash")
+    ids = boxed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).alias("d")
     k = kept.distinct().alias("k")
-    rows = ids.join(k, (F.col("d._id").eqNullSafe(F.col("k._id"))) & (F.col("d._hash") == F.col("k._hash")), "left_semi")
-    return rows.dropDuplicates(["_id", "_hash"]).select(*[f"`{c}`" for c in docs.columns])
+    rows = ids.join(k, (F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))) & (F.col("d.text_hash") == F.col("k.text_hash")), "left_semi")
+    return unboxed(rows.dropDuplicates(["doc_id", "text_hash"]))
