@@ -5,13 +5,12 @@ bin with the least room that still holds them, found in a balanced tree of
 remaining capacities; what fits nowhere opens a new bin, or, when the number of
 bins is given, enters the emptiest.
 
-The packing looks at sizes only, so it runs on a histogram: sizes are classes
-of three significant digits (of binary: ten bits, within 0.2 %, rounded up, so
-that no capacity is passed), at most some thirty thousand for any corpus, and a
-run of equal sizes is placed a bin at a time. Groups then find their bin by
-their rank inside the class. Ranks, and the places of rows inside a shard, are
-counted in two levels, by buckets of a hash and inside each, so that no task
-holds a class, a shard or a hot group.
+The packing looks at sizes only, so it runs on their histogram, exactly: n bytes
+hold at most the square root of 2 n different sizes, and a run of equal sizes is
+placed a bin at a time. Groups then find their bin by their rank among those of
+equal size. Ranks, and the places of rows inside a shard, are counted in two
+levels, by buckets of a hash and inside each, and frequent texts meet a
+broadcast table, so that no task holds a size, a shard or a hot group.
 
 Cases: a null text is empty, has the size 1 and groups with empty texts; null
 ids come first; repeated rows share their group's shard and get places of their
@@ -22,12 +21,15 @@ shuffled; a group larger than its even share has a shard to itself.
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, hot_keys, join_hot, quoted
 
 #: Hash buckets that ranks and places are counted by.
 BUCKETS = 1024
@@ -120,13 +122,6 @@ def best_fit(sizes: list[tuple[int, int]], capacity: int | None = None, bins: in
     return plan
 
 
-def size_class(size: Column) -> Column:
-    """size rounded up to ten significant bits."""
-    shift = F.greatest(F.length(F.bin(size)) - 10, F.lit(0))
-    step = F.expr("1L").cast("long") * F.pow(F.lit(2), shift).cast("long")
-    return (F.ceil(size / step) * step).cast("long")
-
-
 def ranked(df: DataFrame, by: list[str], bucket: Column, order: list[Column]) -> DataFrame:
     """df with rank, gapless from 0 among rows of equal by. Buckets of a hash are counted first; rows are only numbered inside theirs."""
     rows = df.withColumn("_bucket", bucket)
@@ -143,24 +138,39 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash"))
 
 
+def _placed(groups: DataFrame, plan: dict[int, list[tuple[int, int]]], counts: dict[int, int]) -> DataFrame:
+    """groups with the shard of their weight and rank. All ranks of all weights lie on one line, on which a run of a plan is an interval."""
+    weights = np.array(sorted(counts), np.int64)
+    before = np.cumsum([0, *[counts[w] for w in weights.tolist()][:-1]]).astype(np.int64) if len(weights) else np.empty(0, np.int64)
+    runs = [(int(at) + end, shard) for w, at in zip(weights.tolist(), before, strict=True) for end, shard in plan[w]]
+    known = groups.sparkSession.sparkContext.broadcast((weights, before, np.array([e for e, _ in runs], np.int64), np.array([s for _, s in runs], np.int32)))  # as many as weights and shards
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, before, ends, shards = known.value
+        for b in batches:
+            weight, rank = (b.column(k).to_numpy(zero_copy_only=False) for k in (3, 4))
+            at = before[np.searchsorted(weights, weight)] + rank
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(3)], pa.array(shards[np.searchsorted(ends, at, "right")], pa.int32())], [*_GROUP, "shard"])
+
+    return groups.select(*_GROUP, "weight", "rank").mapInArrow(run, "text_hash long, text_crc32 long, size long, shard int")
+
+
 def pack(docs: DataFrame, bins: int | None = None, capacity: int | None = None) -> DataFrame:
     """doc_id, size, text_crc32, text_hash, shard and slot, gapless from 0 inside each shard, by doc_id inside a bucket."""
     rows = cut(measured(docs))
-    groups = rows.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("copies")).withColumn("class", size_class(F.col("size") * F.col("copies")))
-    groups = cut(ranked(groups, ["class"], F.pmod(F.xxhash64(*_GROUP), F.lit(BUCKETS)), [F.col(c) for c in _GROUP]))
-    found = groups.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per class
-    plan = best_fit([(r["class"], r["n"]) for r in found], capacity, bins)
-    table = docs.sparkSession.createDataFrame(list(plan.items()), "class long, runs array<struct<end:long,shard:int>>")
-    shard = F.filter("runs", lambda r: r["end"] > F.col("rank"))[0]["shard"]
-    placed = groups.join(F.broadcast(table), "class").select(*_GROUP, shard.alias("shard"))  # as many rows as classes
-    sharded = cut(rows.join(placed, _GROUP))
-    slots = ranked(sharded, ["shard"], F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(BUCKETS)), [F.col("doc_id").asc_nulls_first(), F.col("text_hash")])
+    groups = rows.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("copies")).withColumn("weight", F.col("size") * F.col("copies"))
+    groups = cut(ranked(groups, ["weight"], F.pmod(F.xxhash64(*_GROUP), F.lit(BUCKETS)), [F.col(c) for c in _GROUP]))
+    counts = {r["weight"]: r["n"] for r in groups.groupBy("weight").agg(F.count(F.lit(1)).alias("n")).collect()}  # k different weights add up to k * k / 2 bytes at least
+    placed = _placed(groups, best_fit(list(counts.items()), capacity, bins), counts)
+    sharded = cut(join_hot(rows, placed, _GROUP, hot_keys(groups, _GROUP, "copies")))
+    # A row's own number deals rows that repeat, too.
+    slots = ranked(sharded, ["shard"], F.pmod(F.xxhash64("doc_id", "text_hash", F.monotonically_increasing_id()), F.lit(BUCKETS)), [F.col("doc_id").asc_nulls_first(), F.col("text_hash")])
     return slots.withColumnRenamed("rank", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, bins: int | None = None, capacity: int | None = None) -> None:
-    """docs as Parquet, one folder per shard."""
+    """docs as Parquet, one folder per shard. A column named shard is replaced."""
     places = pack(docs, bins, capacity).select("doc_id", "text_hash", "shard").distinct().alias("p")
     d = docs.alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.xxhash64(F.coalesce(F.col("d.text").cast("string"), F.lit(""))) == F.col("p.text_hash"))
-    d.join(places, same).select("d.*", F.col("p.shard").alias("shard")).write.partitionBy("shard").parquet(path)
+    d.join(places, same).select(*[F.col(f"d.{quoted(c)}") for c in docs.columns if c.lower() != "shard"], F.col("p.shard").alias("shard")).write.partitionBy("shard").parquet(path)
