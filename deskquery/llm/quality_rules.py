@@ -6,8 +6,8 @@ change and rules are ablated without reading a text again.
 
 Cases: a null or empty text has no words and fails ``few_words``; any length
 works, in memory proportional to one text; repeated rows give repeated rows; an
-empty table gives an empty ledger; other columns pass through, and those whose
-names the ledger uses are replaced.
+empty table gives an empty ledger; other columns pass through, whatever their
+names, and those whose names the ledger uses are replaced.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, words_of
+from .common import SPACE, boxed, let, words_of
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters", "n_upper")
 
@@ -51,13 +51,14 @@ def mask(rules: tuple[str, ...]) -> int:
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with the measurements and ``failed``, the bits of the rules that the document fails (long)."""
-    known = F.coalesce(F.col(text), F.lit(""))
-    measured = docs.withColumn("_m", _measure(known)).withColumns({m: F.col(f"_m.{m}").cast("long") for m in MEASURES}).drop("_m")
+    rows = boxed(docs, _measure(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("m"))
+    kept = [c for c in docs.columns if c.lower() not in (*MEASURES, "failed")]
+    measured = rows.select("row", *[F.col("m").getField(m).cast("long").alias(m) for m in MEASURES])
     bits = [F.when(F.expr(r.condition), 1 << i).otherwise(0).cast("long") for i, r in enumerate(RULES)]
     failed = bits[0]
     for bit in bits[1:]:
         failed = failed.bitwiseOR(bit)
-    return measured.withColumn("failed", failed)
+    return measured.withColumn("failed", failed).select(*[F.col("row").getField(c).alias(c) for c in kept], *MEASURES, "failed")
 
 
 def passes(policy: str = "v1") -> Column:
