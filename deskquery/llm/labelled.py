@@ -10,12 +10,12 @@ MOST_LABELLED = 200_000
 
 
 def remainder(parts: int, doc_id: str = "doc_id") -> Column:
-    """crc32 of the id, as text, modulo parts."""
-    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(parts))
+    """crc32 of the id, as text, modulo parts; of a null id 0 - 1, which is no remainder."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(parts)), F.lit(-1))
 
 
 def sample(labels: DataFrame, label: str, parts: int, held_out: int, most: int = MOST_LABELLED) -> DataFrame:
-    """doc_id and label (0 or 1) of rows outside the held-out fold. One row per id; rows without id or label are left out."""
+    """doc_id and label (0 or 1) of rows outside the held-out fold. One row per id, of label 1 where its labels differ; rows without id or label are left out."""
     rows = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (remainder(parts) != held_out))
     n = rows.count()
     if n > most:

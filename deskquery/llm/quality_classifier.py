@@ -10,7 +10,8 @@ Cases: null and empty texts have the statistics of an empty text and a score
 between 0 and 1; texts of any length work, in memory proportional to one batch;
 repeated rows are scored alike; without labels of both classes every score is
 the share of label 1 (0.5 without any); an empty table gives an empty result;
-other columns pass through, and those with the results' names are replaced.
+ids are whole numbers (others raise), and a null id is scored and never fitted
+on; only doc_id and score are given, so other columns cannot clash.
 """
 
 from __future__ import annotations

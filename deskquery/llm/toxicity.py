@@ -15,7 +15,8 @@ that ordinary text has none.
 Cases: null, empty and wordless texts score 0; texts of any length work, in time
 linear in the text and memory proportional to one batch; repeated rows are
 scored alike; without labels of both classes every score is 0; an empty table
-gives an empty result; other columns are not carried.
+gives an empty result; ids are whole numbers (others raise), and a null id is
+scored and never fitted on; other columns are not carried, so they cannot clash.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import cut, slices
 
 LOSS = -0.5  # of a token that is not toxic
 STANDS_OUT = 3.0  # standard errors above zero, of a candidate by documents
@@ -133,15 +134,13 @@ def count(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labelled: DataFrame) -> Model:
     """The model of the labelled documents. labelled: doc_id and label, of bounded size, which bounds the tokens too."""
-    counts = count(docs, labelled).persist()
+    counts = cut(count(docs, labelled))
     totals = {r.token: r for r in counts.filter(F.col("token").isin("", " ")).collect()}
     if "" not in totals or not totals[""].n0 or not totals[""].n1:
-        counts.unpersist()
         return Model({}, 1.0)
     d0, d1 = totals[""].n0, totals[""].n1
     rows = counts.filter(~F.col("token").isin("", " ")).withColumns(_odds(F.col("n0"), F.col("n1"), d0, d1)).filter((F.col("delta") > 1) & (F.col("delta") > STANDS_OUT * F.col("error")))
     candidates = [r.token for r in rows.select("token").collect()]
-    counts.unpersist()
     # Copies of one toxic document make all its words look toxic. In distinct surroundings they count once.
     told = contexts(docs, labelled, frozenset(candidates)).withColumns(_odds(F.col("n0"), F.col("n1"), d0, d1))
     toxic = [(r.token, min(r.delta, TOP), r.n0) for r in told.filter((F.col("delta") > 1) & (F.col("delta") > CERTAIN * F.col("error"))).collect()]
