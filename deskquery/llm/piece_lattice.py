@@ -5,52 +5,67 @@ scores is largest (Viterbi). The model file at hand holds merge ranks, not
 probabilities, so a piece of rank r scores the logarithm of a normalised Zipf
 law, 1 / (r + 2). Characters without a piece fall back to their bytes.
 
-No piece runs over the start of a word (a run of spaces, a line feed, or a mark
-that no piece holds after a letter or digit), so a text's best segmentation is that of its
-words, and words are segmented once. The corpus's frequent words, at most
-``VOCABULARY`` of them, go through the lattice: their substrings of bounded
-length are exploded, joined with the piece table on equality, grouped into edges
-by word and folded by a higher-order aggregate that carries the best score and
-pieces of every prefix. The result has a proven size, so it is broadcast, and
-documents are encoded in place without a shuffle. The words beyond that bound,
-and those over ``LONGEST`` characters, are segmented where they occur by the
-same recursion (``segment``), in time linear in the word.
+No piece runs over the start of a word (a run of spaces, a line feed, or a run
+of marks whose first no piece holds behind a letter or digit), so a text's best
+segmentation is that of its words, and words are segmented once, by the
+lattice: their substrings of bounded length are exploded, joined with the piece
+table on equality (of a hash, then of the text), grouped into edges by word and
+folded by a higher-order aggregate that carries the best score and pieces of
+every prefix.
+
+How words travel. A task reads its texts once, in batches of bounded size, and
+leaves each document as places in its batch's list of words. That list's words
+are grouped over all batches, segmented, and go back to their batches, where
+the documents' ids and the texts made from them are put together. Documents
+are not shuffled: they lie in a table bucketed by batch. Frequent words, those
+seen most in a bounded sample of the documents, take the lattice first and are
+broadcast, ``VOCABULARY`` of them at most, so that they need not travel once a
+batch; which words these are changes no result. All words take the lattice but
+those over ``LONGEST`` characters, whose rows of edges would outgrow a task:
+they are segmented by the same recursion (``Pieces.segment``).
 
 Cases: null and empty texts have no pieces and decode to the empty text; other
 texts decode to themselves, but for U+2581, which the model uses for the space
 and which decodes to one; repeated rows give repeated rows; an empty table
 gives an empty result; texts of any length work, in memory proportional to one
-batch; other columns pass through, and those with the results' names are
-replaced.
+batch; the text is replaced by ``decoded``, other columns pass through, and
+those with the results' names are replaced.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import string
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, quoted, shared_folder, slices
 
 SPACE = "▁"
 VOCABULARY = 1 << 18
-LONGEST = 64
+SAMPLE = 20_000  # documents that frequent words are looked for in, about
+COMMON = 64  # characters of a frequent word at most
+LONGEST = 4096
+BATCH = 32 << 20  # bytes of text of a batch, at most about
 _ADDED = ("ids", "n_pieces", "ids_crc32", "decoded")
-_KEPT = 200_000  # words outside the vocabulary that a worker remembers
+_EDGE_KEYS = 50_000  # words of a task whose edges stay in memory
 
 
 class Pieces:
-    """The piece table of a model file."""
+    """The piece table of a model file, with U+2581 written as the space that it stands for."""
 
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -59,22 +74,29 @@ class Pieces:
         self.of_byte = {int(model.id_to_piece(i)[1:-1], 16): i for i in byte_ids}
         normal = [i for i in ids if not (model.is_byte(i) or model.is_unknown(i) or model.is_control(i) or model.is_unused(i))]
         total = math.log(sum(1 / (r + 2) for r in range(len(normal))))
-        self.ids = {model.id_to_piece(i): i for i in normal}
-        self.score = {model.id_to_piece(i): -math.log(r + 2) - total for r, i in enumerate(normal)}
+        self.ids = {model.id_to_piece(i).replace(SPACE, " "): i for i in normal}
+        self.score = {p: -math.log(r + 2) - total for r, p in enumerate(self.ids)}
         self.fallback = min(self.score.values()) - 10
         self.longest = max(map(len, self.ids))
-        if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids):
+        if any(" " in p.lstrip(" ") or "\n" in p for p in self.ids):
             raise ValueError("a piece of this model runs over the start of a word")
-        # Marks are the pieces' characters other than letters and digits. A word ends before a mark that no piece holds after a letter or digit.
-        marks = {c for p in self.ids for c in p if not c.isalnum() and c not in (SPACE, "\n") and ord(c) < 0x10000}
-        held = {b for p in self.ids for a, b in zip(p, p[1:], strict=False) if b in marks and a not in marks and a != SPACE}
-        listed = lambda chars: "".join(f"\\u{ord(c):04x}" for c in sorted(chars))
-        plain, mark = rf"[^{SPACE}\n{listed(marks)}]", f"[{listed(marks)}]"
-        more = f"(?:[{listed(held)}]{mark}*{plain}*)*" if held else ""
-        #: Words of a text whose spaces have been replaced.
-        self.words = rf"{SPACE}*(?:{mark}+{plain}*|{plain}+){more}|{SPACE}+|\n"
+        # Marks are the pieces' characters other than letters, digits and spaces. A word ends before a run of them whose first no piece holds behind another character.
+        marks = "".join(sorted({c for p in self.ids for c in p if not c.isalnum() and c != " "} | set(string.punctuation)))
+        held = {b for p in self.ids for a, b in zip(p, p[1:], strict=False) if b in marks and a not in marks and a != " "}
+        mark, plain = f"[{re.escape(marks)}]", rf"[^ \n{re.escape(marks)}]"
+        more = f"(?:[{re.escape(''.join(sorted(held)))}]{mark}*{plain}*)*" if held else ""
+        # Most words are spaces and Latin letters up to a space, a line feed, or a mark that no piece holds behind such a letter: these are found first, at less cost.
+        latin = "0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+        behind = {b for p in self.ids for a, b in zip(p, p[1:], strict=False) if re.match(f"[{latin}]", a)}
+        ends = re.escape("".join(c for c in string.punctuation if c not in behind))
+        #: Words of a text with a space before it.
+        self.words = rf" *[{latin}]++(?![^ \n{ends}])| *(?:{plain}+|{mark}+{plain}*){more}| +|\n"
         self.entries = {p: (self.score[p], (i,)) for p, i in self.ids.items()}
-        self.raw = {i: p.encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in self.of_byte.items()}
+        #: The bytes of each id: where they start in raw, and how many.
+        known = {i: p.encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in self.of_byte.items()}
+        parts = [known.get(i, b"") for i in ids]
+        self.raw, self.raw_len = np.frombuffer(b"".join(parts), np.uint8), np.array([len(p) for p in parts], np.int64)
+        self.raw_at = np.cumsum(self.raw_len) - self.raw_len
 
     def segment(self, word: str) -> list[int]:
         """The best pieces of a word; of equal scores the one whose last piece is longest."""
@@ -97,8 +119,13 @@ class Pieces:
             parts.append(ids)
         return [i for ids in reversed(parts) for i in ids]
 
-    def decode(self, ids) -> str:
-        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ")
+    def split(self, text: str | None) -> list[str]:
+        return _splitter(self.words)(f" {text.replace(SPACE, ' ')}") if text else []
+
+
+@cache
+def _splitter(pattern: str):
+    return re.compile(pattern).findall
 
 
 @cache
@@ -106,108 +133,226 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def spaced(text: str | None) -> str:
-    return SPACE + text.replace(" ", SPACE) if text else ""
+@contextmanager
+def _settings(spark: SparkSession, **given: int):
+    """While it lasts: keys (words that a task groups by hash before it sorts; their edges fit into memory, Spark's own setting is made for larger groups), rows (of an Arrow batch)."""
+    names = {"keys": "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "rows": "spark.sql.execution.arrow.maxRecordsPerBatch"}
+    was = {names[k]: spark.conf.get(names[k]) for k in given}
+    try:
+        for k, v in given.items():
+            spark.conf.set(names[k], str(v))
+        yield
+    finally:
+        for name, value in was.items():
+            spark.conf.set(name, value)
 
 
-def frequent_words(docs: DataFrame, model: str, size: int = VOCABULARY) -> DataFrame:
-    """The most frequent words, as many whole frequency classes as fit into size (column word). All texts are counted."""
+def frequent_words(docs: DataFrame, model: str, most: int) -> list[str]:
+    """The words seen most, and more than once, in a sample of the documents; most at most. Any list does: it only decides how words travel."""
+    share = min(1.0, SAMPLE / max(docs.count(), 1))
+    rows = docs.select(F.col("text").cast("string").alias("text")).sample(share, 7)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = re.compile(pieces(model).words).findall, Counter()
-
-        def out() -> pa.RecordBatch:
-            kept = [(w, n) for w, n in seen.items() if len(w) <= LONGEST]
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
-
-        for b in batches:
+        here, seen = pieces(model), Counter()
+        for b in slices(batches, 0):
             for text in b.column(0).to_pylist():
-                seen.update(split(spaced(text)))
-                if len(seen) > _KEPT:
-                    yield out()
-                    seen.clear()
-        yield out()
-
-    words = docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, n long")
-    counts = cut(words.groupBy("word").agg(F.sum("n").alias("n")).withColumn("class", F.floor(F.log2("n") * 8)))
-    room, least = size, math.inf
-    for row in sorted(counts.groupBy("class").count().collect(), reverse=True):  # 512 rows at most
-        if (room := room - row["count"]) < 0:
-            break
-        least = row["class"]
-    return counts.filter(F.col("class") >= float(least)).select("word")
+                seen.update(here.split(text))
+        kept = [(w, k) for w, k in seen.items() if len(w) <= COMMON]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([k for _, k in kept], pa.int64())], ["word", "n"])
+
+    counts = rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
+    with _settings(docs.sparkSession, rows=500):
+        return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
 
 
 def segmented(words: DataFrame, table: Pieces) -> DataFrame:
-    """word and ids, its best pieces, by the lattice."""
+    """words (one row per word; all columns stay) with ids, the best pieces of the column word, by the lattice."""
     spark = words.sparkSession
-    known = F.broadcast(spark.createDataFrame([(p, i, table.score[p]) for p, i in table.ids.items()], "piece string, id int, score double"))  # the model's table
-    # Dealt by word once: what follows stays in place.
-    starts = words.repartition("word").select("word", F.explode(F.sequence(F.lit(0), F.char_length("word") - 1)).alias("start"))
-    spans = starts.select("word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(table.longest), F.char_length("word") - F.col("start")))).alias("len"))
-    spans = spans.withColumn("piece", F.expr("substring(word, start + 1, len)"))
+    rest = [c for c in words.columns if c != "word"]
+    rows = [(p, i, table.score[p]) for p, i in table.ids.items()]
+    known = F.broadcast(spark.createDataFrame(rows, "known string, id int, score double").select(F.xxhash64("known").alias("hash"), "known", "id", "score"))  # the model's table
+    starts = words.select("*", F.explode(F.sequence(F.lit(0), F.char_length("word") - 1)).alias("start"))
+    spans = starts.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(table.longest), F.char_length("word") - F.col("start")))).alias("len"))
+    spans = spans.withColumn("piece", F.expr("substring(word, start + 1, len)")).withColumn("hash", F.xxhash64("piece"))
+    joined = spans.join(known, "hash", "left")
+    same = F.col("piece") == F.col("known")
+    edges = joined.filter(same | (F.col("len") == 1))
+    # An unknown character is an edge with its place below zero instead of an id.
+    edge = F.struct(
+        (F.col("start") + F.col("len")).alias("end"), F.col("start"),
+        F.when(same, F.col("score")).otherwise(table.fallback).alias("score"), F.when(same, F.col("id")).otherwise(-1 - F.col("start")).alias("id"),
+    )
+    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"), *[F.first(c).alias(c) for c in rest])
+    best = grouped.select("word", *rest, _best(F.col("edges")).alias("ids"))
     byte_ids = F.array(*[F.lit(table.of_byte[b]) for b in range(256)])
-    raw = F.hex(F.encode("piece", "UTF-8"))
-    as_bytes = F.transform(F.sequence(F.lit(0), F.octet_length("piece") - 1), lambda i: F.element_at(byte_ids, F.conv(F.substring(raw, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + 1))
-    edges = spans.join(known, "piece", "left").filter("id IS NOT NULL OR len = 1")
-    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes)
-    edge = F.struct((F.col("start") + F.col("len")).alias("end"), F.col("start"), F.coalesce("score", F.lit(table.fallback)).alias("score"), ids.alias("ids"))
-    return edges.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges")).select("word", _best(F.col("edges")).alias("ids"))
 
+    def as_bytes(place: Column) -> Column:
+        raw = F.hex(F.encode(F.substring(F.col("word"), -place, F.lit(1)), "UTF-8"))
+        return F.transform(F.sequence(F.lit(0), F.octet_length(F.substring(F.col("word"), -place, F.lit(1))) - 1), lambda i: F.element_at(byte_ids, F.conv(F.substring(raw, (i * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + 1))
+
+    spelled = F.flatten(F.transform("ids", lambda i: F.when(i >= 0, F.array(i)).otherwise(as_bytes(i))))
+    return best.withColumn("ids", F.when(F.exists("ids", lambda i: i < 0), spelled).otherwise(F.col("ids")))
 
-_STATE = "struct<best:array<struct<score:double,ids:array<int>>>,last:struct<score:double,ids:array<int>>,end:int>"
+
+_PREFIX = "struct<score:double,ids:array<int>>"
 
 
 def _best(edges: Column) -> Column:
     """Viterbi: best holds the finished prefixes, last the best so far of the prefix that ends at end. Edges come by end, then start."""
     none = F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))
-    first = F.struct(F.array().cast("array<struct<score:double,ids:array<int>>>").alias("best"), none.alias("last"), F.lit(0).alias("end")).cast(_STATE)
+    first = F.struct(F.array().cast(f"array<{_PREFIX}>").alias("best"), none.alias("last"), F.lit(0).alias("end")).cast(f"struct<best:array<{_PREFIX}>,last:{_PREFIX},end:int>")
 
     def take(a: Column, e: Column) -> Column:
-        done = F.when(e["end"] > a["end"], F.concat(a["best"], F.array(a["last"]))).otherwise(a["best"])
-        return F.transform(F.array(done), lambda best: placed(a, e, best))[0]
-
-    def placed(a: Column, e: Column, best: Column) -> Column:
-        before = F.get(best, e["start"])
+        before = F.coalesce(F.get(a["best"], e["start"]), a["last"])  # the prefix just finished is still in last
         score = before["score"] + e["score"]
-        better = (e["end"] > a["end"]) | (score > a["last"]["score"])
-        last = F.when(better, F.struct(score.alias("score"), F.concat(before["ids"], e["ids"]).alias("ids"))).otherwise(a["last"])
-        return F.struct(best.alias("best"), last.alias("last"), e["end"].alias("end"))
+        here = F.struct(score.alias("score"), F.concat(before["ids"], F.array(e["id"])).alias("ids"))
+        further = F.struct(F.concat(a["best"], F.array(a["last"])).alias("best"), here.alias("last"), e["end"].alias("end"))
+        better = F.struct(a["best"].alias("best"), here.alias("last"), a["end"].alias("end"))
+        return F.when(e["end"] > a["end"], further).when(score > a["last"]["score"], better).otherwise(a)
 
     return F.aggregate(edges, first, take, lambda a: a["last"]["ids"])
 
 
-def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY) -> DataFrame:
-    """docs with ids (array<int>), n_pieces, ids_crc32 (unsigned, of the ids as little-endian 32-bit integers), and decoded (the text made from the ids)."""
-    spark = docs.sparkSession
-    table = pieces(model)
-    found = cut(segmented(frequent_words(docs, model, vocabulary), table))
-    known = spark.sparkContext.broadcast({r.word: np.array(r.ids, "<u2").tobytes() for r in found.toLocalIterator()})  # VOCABULARY short words at most
+class _Places(dict):
+    """Word: its place. A new word gets the next one."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        return place
+
+
+def _packed(places: np.ndarray) -> bytes:
+    """Numbers as bytes, all lowest ones first, then all second ones, and so on, which compresses well."""
+    return np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _gathered(flat: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The runs of flat that start at at and have n entries, one after another."""
+    ends = np.cumsum(n)
+    return flat[np.repeat(at - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class _Table:
+    """Ids and bytes of words by place."""
+
+    def __init__(self, ids: np.ndarray, n: np.ndarray, table: Pieces):
+        self.ids, self.n, self.at = ids, n, np.cumsum(n) - n
+        lengths = table.raw_len[ids]
+        self.raw = _gathered(table.raw, table.raw_at[ids], lengths)
+        sums = np.concatenate([[0], np.cumsum(lengths)])
+        self.raw_n = sums[self.at + n] - sums[self.at]
+        self.raw_at = sums[self.at]
+
+
+def _numbered(boxes: DataFrame, model: str, known) -> DataFrame:
+    """Rows of documents (batch, row, places: the places of their words in the batch's list, packed) and of each batch's words beyond the frequent ones (batch, place, word)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, first = pieces(model), {w: k for k, w in enumerate(known.value[0])}
+        words, batch, size, row = _Places(first), TaskContext.get().partitionId() << 32, 0, None
+
+        def rows(n: int, **given) -> pa.RecordBatch:
+            every = {"batch": pa.array(np.full(n, batch)), "row": pa.nulls(n, row), "places": pa.nulls(n, pa.binary()), "place": pa.nulls(n, pa.int32()), "word": pa.nulls(n, pa.string())} | given
+            return pa.RecordBatch.from_arrays(list(every.values()), list(every))
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            new = list(words)[len(first) :]
+            for i in range(0, len(new), 50_000):
+                part = new[i : i + 50_000]
+                yield rows(len(part), place=pa.array(np.arange(i, i + len(part), dtype=np.int32)), word=pa.array(part, pa.string()))
+
+        for b in slices(batches, 1):
+            row, place = b.column(0).type, words.__getitem__
+            split = [here.split(t) for t in b.column(1).to_pylist()]
+            yield rows(len(b), row=b.column(0), places=pa.array([_packed(np.fromiter(map(place, ws), np.uint32, len(ws))) for ws in split], pa.binary()))
+            size += b.column(1).nbytes
+            if size > BATCH:
+                yield from ended()
+                words, batch, size = _Places(first), batch + 1, 0
+        yield from ended()
+
+    schema = T.StructType([T.StructField("batch", T.LongType()), boxes.schema["row"], T.StructField("places", T.BinaryType()), T.StructField("place", T.IntegerType()), T.StructField("word", T.StringType())])
+    schema["row"].nullable = True
+    return boxes.mapInArrow(run, schema)
+
+
+def _bucketed(df: DataFrame, n: int, key: str) -> DataFrame:
+    """The rows written to the shared folder in n buckets of key, so that grouping by it moves nothing. Each task writes the buckets of its own few keys."""
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, key).option("path", shared_folder(spark)).option("compression", "zstd").saveAsTable(name)
+    found = spark.table(name)
+    found.schema  # noqa: B018  read before the name goes; the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+def _by_recursion(words: DataFrame, model: str) -> DataFrame:
+    """Words with their places, of any length: ids by Pieces.segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, ready, more = pieces(model), known.value, {}
-        split = re.compile(here.words).findall
-        for b in batches:
-            ids, decoded = [], []
-            for text in b.column(at).to_pylist():
-                parts = []
-                for w in split(spaced(text)):
-                    p = ready.get(w) or more.get(w)
-                    if p is None:
-                        if len(more) >= _KEPT:
-                            more.clear()
-                        p = np.array(here.segment(w), "<u2").tobytes()
-                        if len(w) <= LONGEST:
-                            more[w] = p
-                    parts.append(p)
-                ids.append(np.frombuffer(b"".join(parts), "<u2").astype(np.int32))
-                decoded.append(here.decode(ids[-1].tolist()))
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            flat = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32())
-            new = [pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(b.num_columns)], *new], [*b.schema.names, *_ADDED])
-
-    plain = docs.drop(*_ADDED).withColumn("text", F.col("text").cast("string"))
-    at = plain.columns.index("text")
-    schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("decoded", T.StringType())])
-    return plain.mapInArrow(run, schema)
+        for b in slices(batches, 0):
+            ids = pa.array([pieces(model).segment(w) for w in b.column(0).to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), ids], ["batch", "place", "ids"])
+
+    return words.select("word", "batch", "place").mapInArrow(run, "batch long, place int, ids array<int>")
+
+
+def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY, longest: int = LONGEST) -> DataFrame:
+    """docs with ids (array<int>), n_pieces, ids_crc32 (unsigned, of the ids as little-endian 32-bit integers), and decoded (the text made from the ids) instead of text."""
+    spark = docs.sparkSession
+    table, n = pieces(model), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frequent = frequent_words(docs, model, vocabulary) if vocabulary else []
+    with _settings(spark, keys=_EDGE_KEYS):
+        few = spark.createDataFrame([(w,) for w in frequent], "word string").repartition(4 * n, "word")
+        found = {r.word: r.ids for r in segmented(few, table).collect()} if frequent else {}  # VOCABULARY words of COMMON characters at most
+    known = spark.sparkContext.broadcast((frequent, np.array([i for w in frequent for i in found[w]], np.int32), np.array([len(found[w]) for w in frequent], np.int64)))
+
+    kept = [c for c in docs.columns if c.lower() not in ("text", *_ADDED)]
+    some = next(x for x in ("_" * k for k in range(1, len(kept) + 2)) if x not in kept)  # a struct has one field at least
+    row = F.struct(F.col("text").isNull().alias(some), *[F.col(quoted(c)) for c in kept]).alias("row")
+    with _settings(spark, rows=500):
+        listed = _bucketed(_numbered(docs.select(row, F.col("text").cast("string").alias("text")), model, known), n, "batch")
+
+    words = listed.filter("word IS NOT NULL").select("word", "batch", "place").repartition(4 * n, "word")  # small parts: their edges are many times as large
+    short = F.char_length("word") <= longest
+    grouped = words.filter(short).groupBy("word").agg(F.collect_list(F.struct("batch", "place")).alias("ats"))
+    by_lattice = segmented(grouped, table).select(F.explode("ats").alias("at"), "ids").select("at.batch", "at.place", "ids")
+    with _settings(spark, keys=_EDGE_KEYS):
+        sent = cut(by_lattice.union(_by_recursion(words.filter(~short), model)).sortWithinPartitions("batch", "place"))  # in order they take less room
+
+    def together(documents: pa.Table, new: pa.Table) -> pa.Table:
+        here, documents, new = pieces(model), documents.combine_chunks(), new.combine_chunks().sort_by("place")
+        _, ids, counts = known.value
+        if len(new):
+            lists = pa.concat_arrays(new.column("ids").chunks)
+            ids = np.concatenate([ids, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
+            counts = np.concatenate([counts, lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)])
+        every = _Table(ids, counts, here)
+        parts = [_documents(b, every, here) for b in slices(documents.select(["row", "places"]).to_batches(), 1, most=2 << 20)]
+        return pa.Table.from_batches(parts)
+
+    result = T.StructType([T.StructField("row", listed.schema["row"].dataType), *[T.StructField(c, t) for c, t in zip(_ADDED, (T.ArrayType(T.IntegerType()), T.LongType(), T.LongType(), T.StringType()), strict=True)]])
+    documents = listed.filter("word IS NULL").select("batch", "row", "places")
+    done = documents.groupBy("batch").cogroup(sent.groupBy("batch")).applyInArrow(together, result)
+    return done.select(*[F.col("row").getField(c).alias(c) for c in kept], *_ADDED)
+
+
+def _documents(b: pa.RecordBatch, words: _Table, table: Pieces) -> pa.RecordBatch:
+    """row and the results of documents, from the places of their words."""
+    places = [_unpacked(p) for p in b.column(1).to_pylist()]
+    flat = np.concatenate(places) if places else np.empty(0, np.uint32)
+    ends = np.cumsum([len(p) for p in places])
+    sums = np.concatenate([[0], np.cumsum(words.n[flat])])
+    bounds = np.concatenate([[0], sums[ends]]).astype(np.int64)
+    ids = _gathered(words.ids, words.at[flat], words.n[flat]).astype("<i4")
+    sizes = np.concatenate([[0], np.cumsum(words.raw_n[flat])])
+    raw = _gathered(words.raw, words.raw_at[flat], words.raw_n[flat])
+    at = np.concatenate([[0], sizes[ends]]).astype(np.int64)
+    crcs = [zlib.crc32(ids[s:e]) for s, e in zip(bounds, bounds[1:], strict=False)]
+    texts = [raw[s + 1 : e].tobytes().decode("utf-8", "replace") for s, e in zip(at, at[1:], strict=False)]  # without the space in front
+    lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+    return pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(np.diff(bounds)), pa.array(crcs, pa.int64()), pa.array(texts, pa.string())], ["row", *_ADDED])

@@ -84,22 +84,46 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
-def test_pieces(spark):
-    rows = [*ODD, (70, "hello, world! it's 12.5% of  3   spaces\t\nx = y_{1}; ▁ 日本 \U0001f600 é"), (71, "nocuts" * 4000)]
-    table = piece_lattice.pieces(PIECES)
-    for size in (1 << 18, 4):  # all words in the vocabulary, and almost none
-        for r in piece_lattice.encode(docs(spark, rows), PIECES, size).collect():
-            text = r.text or ""
+def test_pieces(spark, monkeypatch):
+    rows = [*ODD, (70, "hello, world! it's 12.5% of  3   spaces\t\nx = y_{1}; ▁ 日本 \U0001f600 é”, ñ.a ▁▁b"), (71, "nocuts" * 4000), (72, "long" * 40 + " and rare zxqj")]
+    table, texts = piece_lattice.pieces(PIECES), dict(rows)
+    for vocabulary, batch in ((1 << 18, 1 << 20), (4, 1), (0, 1)):  # frequent words broadcast, almost none, none; one batch, and one a slice
+        monkeypatch.setattr(piece_lattice, "BATCH", batch)
+        found = piece_lattice.encode(docs(spark, rows).repartition(3), PIECES, vocabulary).collect()
+        assert sorted(str(r.doc_id) for r in found) == sorted(str(i) for i, _ in rows)
+        for r in found:
+            text = texts[r.doc_id] or ""
             assert r.decoded == text.replace("▁", " ")
-            assert r.n_pieces == len(r.ids) and r.source == "src"
+            assert r.n_pieces == len(r.ids) and r.source == "src" and r.n_words == 7
             assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
             if 0 < len(text) < 500:
-                words = __import__("re").findall(table.words, piece_lattice.spaced(text))
-                assert "".join(words) == piece_lattice.spaced(text)
+                words = table.split(text)
+                assert "".join(words) == f" {text}".replace("▁", " ")
                 assert r.ids == [i for w in words for i in table.segment(w)]
     assert piece_lattice.encode(docs(spark, []), PIECES).count() == 0
 
 
+def test_pieces_names(spark):
+    rows = spark.createDataFrame([(1, "a b", 2, "x", 5)], "doc_id long, text string, `a.b` int, _ string, n_pieces int")
+    (r,) = piece_lattice.encode(rows, PIECES).collect()
+    assert (r["a.b"], r["_"], r.n_pieces) == (2, "x", len(r.ids)) and r.decoded == "a b"
+
+
+def test_lattice(spark):
+    table = piece_lattice.pieces(PIECES)
+    words = [" hello", " unseenwordxyz", ",", "日本語", " ñandú\U0001f600", " ", "   ", "\n", "q" * 300, " " + "abcdefgh" * 40]  # over 64 characters too
+    found = {r.word: r.ids for r in piece_lattice.segmented(spark.createDataFrame([(w,) for w in words], "word string"), table).collect()}
+    assert found == {w: table.segment(w) for w in words}
+
+
+def test_lattice_takes_all_words(spark, monkeypatch):
+    rows = docs(spark, [(1, " ".join(f"rare{i}word" for i in range(300)) + " " + "x" * 500)])
+    want = [(r.ids, r.decoded) for r in piece_lattice.encode(rows, PIECES, vocabulary=0, longest=1).collect()]  # all by the recursion
+    monkeypatch.setattr(piece_lattice, "_by_recursion", lambda words, model: spark.createDataFrame([], "batch long, place int, ids array<int>"))
+    assert [(r.ids, r.decoded) for r in piece_lattice.encode(rows, PIECES, vocabulary=0).collect()] == want
+    assert [(r.ids, r.decoded) for r in piece_lattice.encode(rows, PIECES).collect()] == want
+
+
 def test_segment_is_best():
     table = piece_lattice.pieces(PIECES)
 
@@ -109,9 +133,9 @@ def test_segment_is_best():
         return max([table.score[word[:k]] + best(word[k:]) for k in range(1, len(word) + 1) if word[:k] in table.score] + ([table.fallback + best(word[1:])] if word[0] not in table.score else []))
 
     score = {i: table.score[p] for p, i in table.ids.items()}
-    for word in ("▁hello", "▁blending", "tion", "▁▁▁x", "çãé", "'s"):
+    for word in ("hello", "blending", "tion", "   x", "çãé", "'s"):
         assert sum(score[i] for i in table.segment(word)) == pytest.approx(best(word))
-        assert sum(score[i] for i in table.segment(f"▁{word}")) == pytest.approx(best(f"▁{word}"))
+        assert sum(score[i] for i in table.segment(f" {word}")) == pytest.approx(best(f" {word}"))
 
 
 def test_best_fit():

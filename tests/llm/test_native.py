@@ -131,7 +131,7 @@ def test_pii_learns(spark):
 
 
 def test_trees_agree(spark):
-    cells = [{"kind": k % 4, "digits": k % 30, "groups": k % 9, "luhn": k % 2, "octets": 0, "left": k % 4, "right": 0, "words": 0, "n": 5, "y": 5 * (k % 2)} for k in range(60)]
+    cells = [{"kind": k % 4, "digits": k % 30, "groups": k % 9, "left": k % 4, "right": 0, "words": 0, "after": k % 5, "n": 5, "y": 5 * (k % 2)} for k in range(60)]
     model = pii.boost(cells)
     df = spark.createDataFrame([tuple(c[f] for f in pii.FEATURES) for c in cells], ", ".join(f"{f} int" for f in pii.FEATURES))
     span = F.struct(*pii.FEATURES)
@@ -153,22 +153,41 @@ def test_urls(spark):
     got = [tuple(r) for r in url_filters.judge(pages).select("page_id", "url", "host", "path", "rule", "verdict").collect()]
     assert sorted(map(str, got)) == sorted(map(str, URLS))
     assert url_filters.judge(pages.limit(0)).count() == 0
-    many = [(i, f"http://spam.net/{'es' if i % 2 else 'en'}/{i}") for i in range(400)] + [(900, "http://ok.com/a"), (901, "http://new.net/en/")]
-    out = {r.page_id: r.verdict for r in url_filters.judge(spark.createDataFrame(many, "page_id long, url string")).collect()}
-    assert out[0] == "block" and out[900] == "allow"
+
+
+def verdicts(spark, urls, rules=url_filters.RULES):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    return [r.verdict for r in url_filters.judge(pages, rules).orderBy("page_id").collect()]
+
+
+def test_urls_outcomes(spark):
+    # Only block rules reach net: a host is blocked where most of its pages are, not where some are.
+    spam = [f"http://spam.net/{'en' if i % 10 == 0 else 'es'}/{i}" for i in range(400)]
+    half = [f"http://half.net/{'es' if i % 2 else 'en'}/{i}" for i in range(400)]
+    fine = [f"http://h{i % 20}.net/en/{i}" for i in range(400)]
+    got = dict(zip(spam + half + fine, verdicts(spark, spam + half + fine), strict=True))
+    assert got["http://spam.net/en/0"] == "block" and got["http://half.net/en/0"] == "allow" and {got[u] for u in fine} == {"allow"}
 
 
 def test_urls_without_outcomes(spark):
-    # Hosts that are bad or good throughout: nothing is known of a host of its own, however many outcomes its suffix has.
-    many = [(i, f"http://h{i % 40}.net/es/{i}") for i in range(4000) if i % 40 < 30] + [(i, f"http://h{i % 40}.net/ok/{i}") for i in range(4000) if i % 40 >= 30]
-    rules = (("block", "net", "/es/"), ("allow", "net", "/ok/"))
-    pages = spark.createDataFrame([*many, (9000, "http://new.net/en/"), (9001, "http://h1.net/en/"), (9002, "http://h35.net/en/")], "page_id long, url string")
-    out = {r.page_id: r.verdict for r in url_filters.judge(pages, rules).filter("page_id >= 9000").collect()}
-    assert out == {9000: "allow", 9001: "block", 9002: "allow"}
-    # Where every outcome of the suffix is bad the mean itself is certain (row 901 of test_urls).
-    many = [(i, f"http://spam.net/{'es' if i % 2 else 'en'}/{i}") for i in range(400)] + [(900, "http://ok.com/a"), (901, "http://new.net/en/")]
-    out = {r.page_id: r.verdict for r in url_filters.judge(spark.createDataFrame(many, "page_id long, url string")).collect()}
-    assert out[901] == "block"
+    # Hosts that no rule reaches are drawn from their neighbours, each of which counts once.
+    bad = [f"http://d{i % 30}.co.uk/{i}" for i in range(3000)]
+    one = [f"http://a{i % 9}.alone.org/{i}" for i in range(3000)]
+    rules = tuple(("block", f"d{k}.co.uk", "/") for k in range(30)) + (("block", "alone.org", "/"),)
+    urls = ["http://new.co.uk/", "http://www.d1.co.uk:80/", "http://new.org/", "http://other.uk/", "http://10.2.3.4/", *bad, *one]
+    assert verdicts(spark, urls, rules)[:5] == ["block", "allow", "allow", "allow", "allow"]
+
+
+def test_url_levels(spark):
+    hosts = ["a.b.co.uk", "b.co.uk", "co.uk", "uk", "a.b.example.com:8080", "10.2.3.4", "", "x"]
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", *[c.alias(n) for n, c in url_filters.levels(F.col("host")).items()]).collect()
+    assert [(r.domain, r.suffix) for r in rows] == [("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("uk", "uk"), ("example.com", "com"), ("10.2.3.4", "10.2.3.4"), ("", ""), ("x", "x")]
+
+
+def test_url_names(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/es/", 2, 3, 4, "x")], "page_id long, url string, row int, method int, reached int, `a.b` string")
+    (r,) = url_filters.judge(pages).collect()
+    assert (r["row"], r["method"], r["reached"], r["a.b"], r.verdict) == (2, 3, 4, "x", "block")
 
 
 def test_digest_of_nothing(spark):
