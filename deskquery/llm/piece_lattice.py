@@ -147,8 +147,8 @@ def _settings(spark: SparkSession, **given: int):
             spark.conf.set(name, value)
 
 
-def frequent_words(docs: DataFrame, model: str, most: int) -> list[str]:
-    """The words seen most, and more than once, in a sample of the documents; most at most. Any list does: it only decides how words travel."""
+def frequent_words(docs: DataFrame, model: str, most: int) -> DataFrame:
+    """word and n: the words seen most, and more than once, in a sample of the documents; most at most. Any list does: it only decides how words travel."""
     share = min(1.0, SAMPLE / max(docs.count(), 1))
     rows = docs.select(F.col("text").cast("string").alias("text")).sample(share, 7)
 
@@ -162,7 +162,7 @@ def frequent_words(docs: DataFrame, model: str, most: int) -> list[str]:
 
     counts = rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
     with _settings(docs.sparkSession, rows=500):
-        return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+        return cut(counts.orderBy(F.desc("n"), "word").limit(most))
 
 
 def segmented(words: DataFrame, table: Pieces) -> DataFrame:
@@ -233,7 +233,11 @@ def _unpacked(raw: bytes) -> np.ndarray:
 def _gathered(flat: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The runs of flat that start at at and have n entries, one after another."""
     ends = np.cumsum(n)
-    return flat[np.repeat(at - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+    size = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(size, len(flat)) < 2**31 else np.int64  # these arrays are what a task's memory goes to
+    places = np.repeat((at - ends + n).astype(kind), n)
+    places += np.arange(size, dtype=kind)
+    return flat[places]
 
 
 class _Table:
@@ -274,6 +278,8 @@ def _numbered(boxes: DataFrame, model: str, known) -> DataFrame:
                 yield from ended()
                 words, batch, size = _Places(first), batch + 1, 0
         yield from ended()
+        words.clear()
+        pa.default_memory_pool().release_unused()  # the worker stays
 
     schema = T.StructType([T.StructField("batch", T.LongType()), boxes.schema["row"], T.StructField("places", T.BinaryType()), T.StructField("place", T.IntegerType()), T.StructField("word", T.StringType())])
     schema["row"].nullable = True
@@ -290,6 +296,26 @@ def _bucketed(df: DataFrame, n: int, key: str) -> DataFrame:
     return found
 
 
+def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of all lists, and their lengths."""
+    whole = lists.combine_chunks()
+    whole = whole if isinstance(whole, pa.Array) else pa.concat_arrays(whole.chunks)
+    return whole.flatten().to_numpy(zero_copy_only=False), whole.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (batch, place, ids) in order of batch, as one row for each run of a batch: places, numbers of ids, and ids. Far less room than row by row."""
+    for b in batches:
+        if not len(b):
+            continue
+        key = b.column(0).to_numpy()
+        bounds = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+        ids, counts = _flat(pa.chunked_array([b.column(2)]))
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x, pa.int32())) for at, x in ((bounds, b.column(1).to_numpy()), (bounds, counts), (ends[bounds], ids))]
+        yield pa.RecordBatch.from_arrays([pa.array(key[bounds[:-1]]), *lists], ["batch", "places", "counts", "ids"])
+
+
 def _by_recursion(words: DataFrame, model: str) -> DataFrame:
     """Words with their places, of any length: ids by Pieces.segment."""
 
@@ -305,11 +331,12 @@ def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY, longest: i
     """docs with ids (array<int>), n_pieces, ids_crc32 (unsigned, of the ids as little-endian 32-bit integers), and decoded (the text made from the ids) instead of text."""
     spark = docs.sparkSession
     table, n = pieces(model), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    frequent = frequent_words(docs, model, vocabulary) if vocabulary else []
-    with _settings(spark, keys=_EDGE_KEYS):
-        few = spark.createDataFrame([(w,) for w in frequent], "word string").repartition(4 * n, "word")
-        found = {r.word: r.ids for r in segmented(few, table).collect()} if frequent else {}  # VOCABULARY words of COMMON characters at most
-    known = spark.sparkContext.broadcast((frequent, np.array([i for w in frequent for i in found[w]], np.int32), np.array([len(found[w]) for w in frequent], np.int64)))
+    known = None
+    if vocabulary:
+        few = frequent_words(docs, model, vocabulary).repartition(4 * n, "word")
+        with _settings(spark, keys=_EDGE_KEYS):
+            known = segmented(few, table).toArrow().sort_by([("n", "descending")])  # VOCABULARY words of COMMON characters at most
+    known = spark.sparkContext.broadcast((known["word"].to_pylist(), *_flat(known["ids"])) if known else ([], np.empty(0, np.int32), np.empty(0, np.int64)))
 
     kept = [c for c in docs.columns if c.lower() not in ("text", *_ADDED)]
     some = next(x for x in ("_" * k for k in range(1, len(kept) + 2)) if x not in kept)  # a struct has one field at least
@@ -317,23 +344,21 @@ def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY, longest: i
     with _settings(spark, rows=500):
         listed = _bucketed(_numbered(docs.select(row, F.col("text").cast("string").alias("text")), model, known), n, "batch")
 
-    words = listed.filter("word IS NOT NULL").select("word", "batch", "place").repartition(4 * n, "word")  # small parts: their edges are many times as large
-    short = F.char_length("word") <= longest
-    grouped = words.filter(short).groupBy("word").agg(F.collect_list(F.struct("batch", "place")).alias("ats"))
-    by_lattice = segmented(grouped, table).select(F.explode("ats").alias("at"), "ids").select("at.batch", "at.place", "ids")
+    words, short = listed.filter("word IS NOT NULL").select("word", "batch", "place"), F.char_length("word") <= longest
+    grouped = words.filter(short).repartition(4 * n, "word").groupBy("word").agg(F.collect_list(F.struct("batch", "place")).alias("ats"))  # small parts: their edges are many times as large
+    found = segmented(grouped, table).select(F.explode("ats").alias("at"), "ids").select("at.batch", "at.place", "ids")
+    if not words.filter(~short).isEmpty():
+        found = found.union(_by_recursion(words.filter(~short).repartition(n), model))
     with _settings(spark, keys=_EDGE_KEYS):
-        sent = cut(by_lattice.union(_by_recursion(words.filter(~short), model)).sortWithinPartitions("batch", "place"))  # in order they take less room
+        sent = cut(found.sortWithinPartitions("batch", "place").mapInArrow(_by_batch, "batch long, places array<int>, counts array<int>, ids array<int>"))
 
     def together(documents: pa.Table, new: pa.Table) -> pa.Table:
-        here, documents, new = pieces(model), documents.combine_chunks(), new.combine_chunks().sort_by("place")
-        _, ids, counts = known.value
-        if len(new):
-            lists = pa.concat_arrays(new.column("ids").chunks)
-            ids = np.concatenate([ids, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
-            counts = np.concatenate([counts, lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)])
-        every = _Table(ids, counts, here)
-        parts = [_documents(b, every, here) for b in slices(documents.select(["row", "places"]).to_batches(), 1, most=2 << 20)]
-        return pa.Table.from_batches(parts)
+        here, (_, ids, counts) = pieces(model), known.value
+        (places, more, all_ids) = (_flat(new.column(c))[0] for c in ("places", "counts", "ids"))
+        order, more = np.argsort(places), more.astype(np.int64)
+        ids = np.concatenate([ids, _gathered(all_ids, (np.cumsum(more) - more)[order], more[order])])
+        every = _Table(ids, np.concatenate([counts, more[order]]), here)
+        return pa.Table.from_batches([_documents(b, every, here) for b in slices(documents.select(["row", "places"]).to_batches(), 1, most=1 << 20)])
 
     result = T.StructType([T.StructField("row", listed.schema["row"].dataType), *[T.StructField(c, t) for c, t in zip(_ADDED, (T.ArrayType(T.IntegerType()), T.LongType(), T.LongType(), T.StringType()), strict=True)]])
     documents = listed.filter("word IS NULL").select("batch", "row", "places")
