@@ -175,6 +175,38 @@ def test_shards(spark):
     assert len({r.shard for r in hot if r.size == 101}) == 1 and len({r.shard for r in hot}) == 4
 
 
+def test_shards_of_hot_rows(spark):
+    rows = [(None, "same")] * 400 + [(i, f"t{i}") for i in range(400)]
+    out = sharding.pack(docs(spark, rows).repartition(3), bins=4).collect()
+    by = defaultdict(list)
+    for r in out:
+        by[r.shard].append(r.slot)
+    assert len(out) == 800 and all(sorted(s) == list(range(len(s))) for s in by.values())
+    assert len({r.shard for r in out if r.size == 5 and r.doc_id is None}) == 1
+
+
+def test_exact_capacity(spark):
+    out = sharding.pack(docs(spark, [(1, "a" * 1024), (2, "b" * 1024)]), capacity=2050).collect()
+    assert {r.shard for r in out} == {0}
+    rng = random.Random(8)
+    sizes = [rng.randint(900, 40_000) for _ in range(150)]
+    out = sharding.pack(docs(spark, [(i, chr(97 + i % 26) * (n - 1)) for i, n in enumerate(sizes)]), capacity=50_000).collect()
+    groups = {(r.text_hash): r.size * sum(x.text_hash == r.text_hash for x in out) for r in out}
+    rooms = []
+    for s in sorted(groups.values(), reverse=True):
+        fits = [(room, b) for b, room in enumerate(rooms) if room >= s]
+        if fits:
+            rooms[min(fits)[1]] -= s
+        else:
+            rooms.append(max(50_000, s) - s)
+    assert len({r.shard for r in out}) == len(rooms)
+
+
+def test_held_out_is_never_null(spark):
+    rows = spark.createDataFrame([(None,), (1,)], "doc_id long").select((labelled.remainder(3) == 1).alias("h")).collect()
+    assert all(r.h is not None for r in rows)
+
+
 def test_bits():
     rng = np.random.default_rng(1)
     for bits in (1, 5, 8, 11, 16, 17, 31, 32):
