@@ -88,10 +88,20 @@ class Cursor:
 
     def __next__(self) -> tuple:
         if self._rows is None:
-            self.df.sparkSession.sparkContext.setJobGroup(self.group, "deskquery cursor", interruptOnCancel=True)
-            self._rows = self.df.toLocalIterator(prefetchPartitions=True)
+            self._rows = self._started()
         return tuple(next(self._rows))
 
+    def _started(self) -> Iterator:
+        """The rows, whose jobs belong to the cursor's group. The thread's own group is put back, so that its later jobs are not this cursor's."""
+        sc = self.df.sparkSession.sparkContext
+        own = {k: sc.getLocalProperty(k) for k in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")}
+        sc.setJobGroup(self.group, "deskquery cursor", interruptOnCancel=True)
+        try:
+            return self.df.toLocalIterator(prefetchPartitions=True)
+        finally:
+            for k, v in own.items():
+                sc.setLocalProperty(k, v)
+
     def cancel(self) -> None:
         self.df.sparkSession.sparkContext.cancelJobGroup(self.group)
 

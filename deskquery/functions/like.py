@@ -18,12 +18,14 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Capitals whose small letter depends on their neighbours, or is two: here every character is folded by itself, on both sides.
+_ALONE = ("\u03a3\u0130", "\u03c3i")
 _SIMPLE = re.compile(r"%?[^%_]*%?|[^%_]+%[^%_]+")
 
 
 def like(column: Column, pattern: str, fold_case: bool = False) -> Column:
     if fold_case:
-        column, pattern = F.lower(column), pattern.lower()
+        column, pattern = F.lower(F.translate(column, *_ALONE)), "".join(dict(zip(*_ALONE, strict=True)).get(c, c.lower()) for c in pattern)
     if _SIMPLE.fullmatch(pattern):
         return column.like(pattern.replace("\\", "\\\\"))
     if "_" in pattern:

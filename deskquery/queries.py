@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .engine import Engine
 
+#: The table of events with every third user unknown: the given tables hold no nulls.
+_GAPS = "(SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id END AS user_id FROM events) AS gaps"
 # name: (dialect text, parameters, equivalent SQL or None for the same text)
 _STATEMENTS: dict[str, tuple[str, tuple, str | None]] = {
     "project_star": ("SELECT * FROM region", (), None),
@@ -21,23 +25,25 @@ _STATEMENTS: dict[str, tuple[str, tuple, str | None]] = {
     "gteq": ("SELECT s_suppkey, s_acctbal FROM supplier WHERE s_acctbal >= 5000", (), None),
     "int_vs_decimal": ("SELECT p_partkey FROM part WHERE p_size > 24.5", (), None),
     "int_vs_quoted": ("SELECT p_partkey FROM part WHERE p_size = '11'", (), "SELECT p_partkey FROM part WHERE p_size = 11"),
-    "text_vs_number": ("SELECT c_custkey FROM customer WHERE c_mktsegment = 5", (), "SELECT c_custkey FROM customer WHERE c_mktsegment = '5'"),
+    "text_vs_number": ("SELECT o_orderkey FROM orders WHERE o_orderpriority > 3", (), "SELECT o_orderkey FROM orders WHERE o_orderpriority > '3'"),
     "like_prefix": ("SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'red%'", (), None),
     "like_suffix": ("SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%bolt'", (), None),
     "like_contains": ("SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%ing%'", (), None),
     "like_underscore": ("SELECT p_partkey, p_name FROM part WHERE p_name LIKE '_ed%'", (), None),
-    "like_on_number": ("SELECT p_partkey FROM part WHERE p_size LIKE '1%'", (), "SELECT p_partkey FROM part WHERE false"),
+    "like_on_number": ("SELECT p_partkey FROM part WHERE p_size LIKE '1%' OR p_size > 45", (), "SELECT p_partkey FROM part WHERE p_size > 45"),
     "ilike": ("SELECT p_partkey, p_name FROM part WHERE p_name ILIKE 'RED%'", (), None),
     "in_int": ("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey IN (1, 2, 3)", (), None),
     "in_text": ("SELECT o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')", (), None),
     "in_large": ("SELECT p_partkey FROM part WHERE p_size IN (1, 3, 5, 7, 9, 11, 13, 15, 17, 19, 21, 23)", (), None),
     "in_quoted_number": ("SELECT n_name FROM nation WHERE n_nationkey IN ('1', '2', 'x')", (), "SELECT n_name FROM nation WHERE n_nationkey IN (1, 2)"),
     "in_with_null": ("SELECT n_name FROM nation WHERE n_nationkey IN (NULL, 4)", (), "SELECT n_name FROM nation WHERE n_nationkey IN (4)"),
-    "is_null": ("SELECT event_id FROM events WHERE user_id IS NULL", (), None),
-    "is_not_null": ("SELECT event_id, user_id FROM events WHERE user_id IS NOT NULL", (), None),
-    "compare_null": ("SELECT event_id FROM events WHERE user_id <> NULL", (), "SELECT event_id FROM events WHERE user_id IS NULL"),
+    "is_null": ("SELECT event_id FROM gaps WHERE user_id IS NULL", (), f"SELECT event_id FROM {_GAPS} WHERE user_id IS NULL"),
+    "is_not_null": ("SELECT event_id, user_id FROM gaps WHERE user_id IS NOT NULL", (), f"SELECT event_id, user_id FROM {_GAPS} WHERE user_id IS NOT NULL"),
+    "compare_null": ("SELECT event_id FROM gaps WHERE user_id <> NULL", (), f"SELECT event_id FROM {_GAPS} WHERE user_id IS NULL"),
+    "not_over_null": ("SELECT event_id FROM gaps WHERE NOT user_id > 50", (), f"SELECT event_id FROM {_GAPS} WHERE user_id IS NULL OR user_id <= 50"),
+    "order_nulls": ("SELECT TOP 50 event_id, user_id FROM gaps ORDER BY user_id, event_id", (), f"SELECT event_id, user_id FROM {_GAPS} ORDER BY user_id NULLS FIRST, event_id LIMIT 50"),
     "and_or_precedence": ("SELECT p_partkey FROM part WHERE p_size = 1 OR p_size = 2 AND p_retailprice > 1000", (), None),
-    "parens": ("SELECT p_partkey FROM part WHERE (p_size = 1 OR p_size = 2) AND p_retailprice > 1000", (), None),
+    "parens": ("SELECT p_partkey FROM part WHERE (p_size < 20 OR p_size = 22) AND p_retailprice > 905", (), None),
     "not": ("SELECT p_partkey FROM part WHERE NOT (p_size < 40 OR p_name LIKE 'red%')", (), None),
     "not_in": ("SELECT n_name FROM nation WHERE NOT n_nationkey IN (1, 2, 3)", (), "SELECT n_name FROM nation WHERE n_nationkey NOT IN (1, 2, 3)"),
     "date_unix_gt": ("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > 900000000", (), "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '1998-07-09 16:00:00'"),
@@ -62,8 +68,15 @@ _STATEMENTS: dict[str, tuple[str, tuple, str | None]] = {
 }
 
 
+def _source(spark, sf_dir: str, text: str):
+    if " gaps" not in text:
+        return sf_dir
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return {"gaps": events.select("event_id", F.when(F.col("event_id") % 3 != 0, F.col("user_id")).alias("user_id"))}
+
+
 def queries() -> dict:
-    return {name: lambda spark, sf_dir, text=text, params=params: Engine(spark, sf_dir).sql(text, *params) for name, (text, params, _) in _STATEMENTS.items()}
+    return {name: lambda spark, sf_dir, text=text, params=params: Engine(spark, _source(spark, sf_dir, text)).sql(text, *params) for name, (text, params, _) in _STATEMENTS.items()}
 
 
 def oracle_sql() -> dict[str, str]:

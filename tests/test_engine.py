@@ -1,7 +1,10 @@
 import itertools
+import threading
+import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from deskquery import Engine, ParamError, QuerySyntaxError, ReadOnlyError, TypeMismatch, UnknownColumn, UnknownTable
 from deskquery.errors import DeskQueryError
@@ -249,3 +252,65 @@ def test_stream(spark):
     assert spark.table("large_orders").count() == Engine(spark, "/root/testdata/sf0.001").sql("SELECT o_orderkey FROM orders WHERE o_totalprice > 300000").count()
     with pytest.raises(DeskQueryError):
         stream_select(stream, "SELECT TOP 5 o_orderkey FROM orders")
+
+
+@pytest.mark.parametrize("where,want", [
+    ("val_int = '4_2'", []), ("val_int = ' 42 '", []), ("val_int = '+42'", [2]), ("val_int = '\u0664\u0662'", []), ("val_double > 'NaN'", []), ("val_double > ' 1'", []),
+    ("val_double > '9.99e1'", []), ("val_double >= '99.9'", [2]), ("val_double < '1e3'", [2]), ("val_double = 'inf'", []), ("val_double > '.5'", [2]),
+])
+def test_quoted_numbers(engine, where, want):
+    assert ids(engine, f"SELECT id FROM nulltest WHERE {where}") == want
+
+
+def test_quoted_decimals(engine):
+    assert ids(engine, "SELECT id FROM typed WHERE val_currency > 'NaN'") == []
+    assert ids(engine, "SELECT id FROM typed WHERE val_currency < '1e40'") == [1, 2, 3]
+    assert ids(engine, "SELECT id FROM typed WHERE val_currency = '1234.5678'") == [1]
+
+
+@pytest.mark.parametrize("text,pattern,want", [
+    ("\u0391\u03a3\u0391", "\u0391\u03a3%", True), ("\u0391\u03a3", "\u03b1\u03c3", True), ("\u0391\u03a3", "%\u03a3", True), ("\u03b1\u03c2", "\u0391\u03a3", False),
+    ("\u0130x", "\u0130X", True), ("\u0130", "I", True), ("\u00c4B", "\u00e4_", True),
+])
+def test_folding_of_single_characters(spark, text, pattern, want):
+    assert spark.createDataFrame([(text,)], "t string").select(like(F.col("t"), pattern, True)).first()[0] is want
+
+
+@pytest.mark.parametrize("query", ["SELECT TOP 2.5 id FROM typed", "SELECT TOP 2.5 PERCENT id FROM typed", "SELECT id FROM typed LIMIT 1.5"])
+def test_row_numbers_are_whole(engine, query):
+    with pytest.raises(QuerySyntaxError):
+        engine.sql(query)
+
+
+def test_wider_bare_names(spark):
+    tables_ = {"t\u00e4ble#1": spark.createDataFrame([(1, 2, 3)], "`\u00fcnit` int, `a@b` int, `#x` int")}
+    assert Engine(spark, tables_).sql("SELECT \u00fcnit, a@b, #x FROM t\u00e4ble#1 WHERE a@b = 2").collect() == [(1, 2, 3)]
+
+
+def test_cursor_leaves_the_thread_alone(engine, spark):
+    sc = spark.sparkContext
+    cursor = engine.prepare("SELECT id FROM typed ORDER BY id").rows()
+    assert [c["name"] for c in cursor.columns] == ["id"]
+    assert next(cursor) == (1,) and sc.getLocalProperty("spark.jobGroup.id") is None
+    cursor.close()
+    assert list(cursor) == [] and spark.range(3).count() == 3
+
+
+def test_cancellation(spark):
+    slow = spark.range(4, numPartitions=4).select(F.udf(lambda i: time.sleep(30) or i, "long")("id").alias("id"))
+    cursor, failed = Engine(spark, {"slow": slow}).prepare("SELECT id FROM slow").rows(), []
+
+    def fetch():
+        try:
+            next(cursor)
+        except Exception as error:  # whatever way Spark reports it
+            failed.append(error)
+
+    thread = threading.Thread(target=fetch)
+    began = time.monotonic()
+    thread.start()
+    while thread.is_alive() and time.monotonic() - began < 25:
+        time.sleep(1)
+        cursor.cancel()
+    thread.join(5)
+    assert failed and time.monotonic() - began < 25 and spark.range(3).count() == 3
