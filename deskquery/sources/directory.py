@@ -1,4 +1,4 @@
-"""A directory of Parquet tables as a database.
+"""A directory of Parquet tables, a desktop database file or a mapping as a database.
 
 The listing goes through Spark's Hadoop file systems, so any path that Spark
 reads will do. A table's schema is read when a query first names it.
@@ -14,12 +14,15 @@ from pyspark.sql import types as T
 
 from ..errors import DeskQueryError, UnknownTable
 from ..plans.planner import ascii_fold
+from .desktop_file import read_table, table_names
 
 _SUFFIX = ".parquet"
+#: Endings of desktop database files.
+FILES = (".mdb", ".accdb")
 
 
 class Database:
-    """Tables by name, without regard to the case of ASCII letters. path: a directory, or tables by name."""
+    """Tables by name, without regard to the case of ASCII letters. source: a directory, a desktop database file, or tables by name."""
 
     def __init__(self, spark: SparkSession, source: str | Mapping[str, DataFrame]):
         if isinstance(source, str) and not source.strip():
@@ -39,15 +42,25 @@ class Database:
         key = ascii_fold(name)
         if key not in self._frames:
             stored = self._index().get(key)
+            if stored is None and self._is_file:
+                stored = name  # a system table is not listed, but has a name
             if stored is None:
                 raise UnknownTable(name)
-            found = self.source[stored] if isinstance(self.source, Mapping) else self.spark.read.parquet(f"{self.source.rstrip('/')}/{stored}{_SUFFIX}")
-            self._frames[key] = _ingest(found)
+            self._frames[key] = _ingest(self._read(stored))
         return self._frames[key]
 
+    @property
+    def _is_file(self) -> bool:
+        return isinstance(self.source, str) and self.source.lower().endswith(FILES)
+
+    def _read(self, name: str) -> DataFrame:
+        if isinstance(self.source, Mapping):
+            return self.source[name]
+        return read_table(self.spark, self.source, name) if self._is_file else self.spark.read.parquet(f"{self.source.rstrip('/')}/{name}{_SUFFIX}")
+
     def _index(self) -> dict[str, str]:
         if self._names is None:
-            listed = sorted(self.source) if isinstance(self.source, Mapping) else sorted(self._files())
+            listed = table_names(self.source) if self._is_file else sorted(self.source) if isinstance(self.source, Mapping) else sorted(self._files())
             self._names = {ascii_fold(n): n for n in listed}
         return self._names
 
