@@ -7,13 +7,14 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .errors import ReadOnlyError
+from .errors import DeskQueryError, ReadOnlyError
 from .functions.render import compatible_floats
 from .operators.listing import describe_result, describe_table, list_tables
 from .plans import ast
 from .plans.params import bind
 from .plans.parser import parse
 from .plans.planner import plan
+from .sinks.ddl import create_table
 from .sources.directory import Database
 
 
@@ -22,7 +23,24 @@ class Engine:
 
     def __init__(self, spark: SparkSession, source: str | Mapping[str, DataFrame], compat_floats: bool = False):
         self.spark, self.compat_floats = spark, compat_floats
-        self.database = Database(spark, source)
+        self.connect(source)
+
+    def connect(self, source: str | Mapping[str, DataFrame]) -> None:
+        """From now on statements are about this database."""
+        self._database = Database(self.spark, source)
+
+    def disconnect(self) -> None:
+        self._database = None
+
+    @property
+    def database(self) -> Database:
+        if self._database is None:
+            raise DeskQueryError("no database is connected")
+        return self._database
+
+    def create_table(self, table: str, dialect: str, **options) -> str:
+        """The statements that make the table in another database: see sinks.ddl."""
+        return create_table(table, self.database.table(table).schema, dialect, **options)
 
     def sql(self, query: str, *params) -> DataFrame:
         """The result as a lazy DataFrame. Only TOP n PERCENT runs a job at once, to count the table."""
@@ -49,6 +67,12 @@ class Engine:
         match statement:
             case ast.ListTables():
                 return list_tables(self.spark, self.database.names())
+            case ast.Connect(path):
+                self.connect(path)
+                return list_tables(self.spark, self.database.names())
+            case ast.Disconnect():
+                self.disconnect()
+                return list_tables(self.spark, [])
             case ast.DescribeTable(table):
                 return describe_table(self.spark, self.database.table(table).schema)
         found = plan(statement, self.database.table(statement.table))

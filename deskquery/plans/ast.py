@@ -92,3 +92,14 @@ class ListTables:
 class DescribeTable:
     table: str
     num_params: int = 0
+
+
+@dataclass(frozen=True)
+class Connect:
+    path: str
+    num_params: int = 0
+
+
+@dataclass(frozen=True)
+class Disconnect:
+    num_params: int = 0

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .engine import Engine
+from .functions.dates import serial_column
+from .functions.render import render
+from .sinks.values import escaped
 
 #: The table of events with every third user unknown: the given tables hold no nulls.
 _GAPS = "(SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id END AS user_id FROM events) AS gaps"
@@ -68,6 +71,24 @@ _STATEMENTS: dict[str, tuple[str, tuple, str | None]] = {
 }
 
 
+def _ddl(spark, sf_dir: str):
+    return spark.createDataFrame([(Engine(spark, sf_dir).create_table("region", "postgres"),)], "ddl string")
+
+
+def _serials(spark, sf_dir: str):
+    return Engine(spark, sf_dir).sql("SELECT o_orderkey, o_orderdate FROM orders").select("o_orderkey", serial_column(F.col("o_orderdate")).alias("serial"))
+
+
+#: Calls beside the statements, and the SQL that gives the same rows.
+_CALLS = {
+    "connect": (lambda spark, sf_dir: Engine(spark, {}).sql(f"CONNECT TO '{sf_dir}'"), _STATEMENTS["list_tables"][2]),
+    "export_values": (lambda spark, sf_dir: escaped(Engine(spark, sf_dir).sql("SELECT n_nationkey, n_name FROM nation"), quote="A"), "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, 'A' || replace(n_name, 'A', 'AA') || 'A' AS n_name FROM nation"),
+    "export_ddl": (_ddl, """SELECT replace(replace('CREATE TABLE IF NOT EXISTS "region"| (|~"r_regionkey"~~~INTEGER, |~"r_name"~~~VARCHAR (255)|);|', '|', chr(10)), '~', chr(9)) AS ddl"""),
+    "render_dates": (lambda spark, sf_dir: render(Engine(spark, sf_dir).sql("SELECT o_orderkey, o_orderdate FROM orders")), "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders"),
+    "serial_dates": (_serials, "SELECT o_orderkey, (epoch(o_orderdate) + 2209161600) / 86400 AS serial FROM orders"),
+}
+
+
 def _source(spark, sf_dir: str, text: str):
     if " gaps" not in text:
         return sf_dir
@@ -76,8 +97,8 @@ def _source(spark, sf_dir: str, text: str):
 
 
 def queries() -> dict:
-    return {name: lambda spark, sf_dir, text=text, params=params: Engine(spark, _source(spark, sf_dir, text)).sql(text, *params) for name, (text, params, _) in _STATEMENTS.items()}
+    return {name: lambda spark, sf_dir, text=text, params=params: Engine(spark, _source(spark, sf_dir, text)).sql(text, *params) for name, (text, params, _) in _STATEMENTS.items()} | {name: call for name, (call, _) in _CALLS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: other or text for name, (text, _, other) in _STATEMENTS.items()}
+    return {name: other or text for name, (text, _, other) in _STATEMENTS.items()} | {name: sql for name, (_, sql) in _CALLS.items()}

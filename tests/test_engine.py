@@ -5,12 +5,15 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from deskquery import Engine, ParamError, QuerySyntaxError, ReadOnlyError, TypeMismatch, UnknownColumn, UnknownTable
 from deskquery.errors import DeskQueryError
 from deskquery.functions.like import like
-from deskquery.functions.render import render
+from deskquery.functions.render import render, table_text
 from deskquery.operators.listing import describe_result
+from deskquery.sinks.ddl import DIALECTS, create_table
+from deskquery.sinks.values import escaped
 from deskquery.streaming.select import stream_select
 from tests.fixtures import tables
 
@@ -314,3 +317,56 @@ def test_cancellation(spark):
         cursor.cancel()
     thread.join(5)
     assert failed and time.monotonic() - began < 25 and spark.range(3).count() == 3
+
+
+def test_connect(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/numbers.parquet")
+    engine = Engine(spark, tables(spark))
+    assert [r[0] for r in engine.sql(f"CONNECT TO '{tmp_path}'").collect()] == ["numbers"]
+    assert engine.sql("SELECT COUNT(*) FROM numbers").first()[0] == "3"
+    assert engine.sql("DISCONNECT;").collect() == []
+    for query in ("LIST TABLES", "SELECT * FROM numbers"):
+        with pytest.raises(DeskQueryError):
+            engine.sql(query)
+    with pytest.raises(QuerySyntaxError):
+        engine.sql("CONNECT numbers")
+
+
+def test_formats(spark):
+    fields = T.StructType([T.StructField("d", T.TimestampNTZType(), True, {"access_type": "DateTime", "Format": "Short Date"}), T.StructField("g", T.StringType(), True, {"access_type": "Replication ID"}), T.StructField("b", T.BooleanType())])
+    df = spark.createDataFrame([(datetime(2026, 5, 28, 1, 2, 3), "{A-1}", True)], fields)
+    assert render(df).first() == ("2026-05-28", "{A-1}", "1")
+    assert render(df, short_date_format="dd.MM.yy", true="Yes", false="No", guid_braces=False).first() == ("28.05.26", "A-1", "Yes")
+    assert table_text(df.select("b", "g"), most=1) == "+-+-----+\n|b|g    |\n+-+-----+\n|1|{A-1}|\n+-+-----+"
+
+
+def test_escaped_values(spark):
+    df = spark.createDataFrame([('a"b\\c\r\n\td', bytearray(b"\x00\xffA"), 5), (None, None, None)], "t string, b binary, n int")
+    assert escaped(df).collect() == [('"a""b\\c\r\n\td"', '"\x00\xffA"', "5"), (None, None, None)]
+    assert escaped(df, escape="\\", binary="hex").first() == ('"a\\"b\\\\c\r\n\td"', '"00FF41"', "5")
+    assert escaped(df, control=True, binary="octal").first() == ('"a""b\\\\c\\r\\n\\td"', '"\\000\\377\\101"', "5")
+    assert escaped(df, quote_text=False, binary="strip").first() == ('a"b\\c\r\n\td', "", "5")
+    with pytest.raises(DeskQueryError):
+        escaped(df, binary="no")
+
+
+@pytest.mark.parametrize("dialect", DIALECTS)
+def test_create_table(engine, dialect):
+    text = engine.create_table("typed", dialect, namespace="My", drop=True)
+    assert text.count("\t\t\t") == 12 and text.startswith("DROP TABLE") and text.endswith(");\n") and "DEFAULT FALSE" in text and "NOT NULL" in text
+
+
+def test_create_table_texts(spark):
+    f = lambda name, kind, **meta: T.StructField(name, kind, True, meta)
+    schema = T.StructType([
+        f("Id", T.IntegerType(), Required="yes"), f("na`me", T.StringType(), access_type="Text", size=80, DefaultValue='"it\'s"', AllowZeroLength="no", Description="who"),
+        f("at", T.TimestampNTZType(), DefaultValue="Date()", Format="Short Date"), f("n", T.DecimalType(10, 2)), f("on", T.BooleanType(), DefaultValue="Yes"),
+    ])
+    assert create_table("T", schema, "postgres") == (
+        'CREATE TABLE IF NOT EXISTS "t"\n (\n\t"id"\t\t\tINTEGER NOT NULL, \n\t"na`me"\t\t\tVARCHAR (40) DEFAULT \'it\'\'s\', \n\t"at"\t\t\tDATE DEFAULT current_date, \n'
+        '\t"n"\t\t\tNUMERIC (10, 2), \n\t"on"\t\t\tBOOLEAN NOT NULL DEFAULT TRUE\n);\nALTER TABLE "t" ADD CHECK ("na`me" <>\'\');\nCOMMENT ON COLUMN "t"."na`me" IS \'who\';\n'
+    )
+    assert "`My_T`" in create_table("T", schema, "mysql", namespace="My") and "`na``me`\t\t\tvarchar (40) DEFAULT 'it''s' COMMENT 'who'" in create_table("T", schema, "mysql")
+    assert "[Id]\t\t\tLong Integer NOT NULL" in create_table("T", schema, "access") and "sysdate" not in create_table("T", schema, "oracle") and "DATE DEFAULT current_date" in create_table("T", schema, "oracle")
+    with pytest.raises(DeskQueryError):
+        create_table("T", schema, "other")
