@@ -74,22 +74,24 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
     needs = cut(reduce(DataFrame.union, parts)) if parts else None
 
     def entries(words: Column) -> Column:
-        header = F.array(F.struct(F.size(words).alias("pos"), F.lit(None).cast("string").alias("key")))
+        header = F.array(F.struct(F.size(words).alias("pos"), F.lit("").alias("key")))
         return F.concat(header, *[_shingles(words, s) for s in sizes])
 
-    # A header has the hash of its text to be dealt by, and is kept whether or not that is met.
     spread = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), F.inline(let(plain_words(F.col("text")), entries)))
     met = spread
     if needs is not None:
-        known = needs.select(F.xxhash64("key").alias("hash")).distinct().withColumn("met", F.lit(True))
-        known = F.broadcast(known) if needs.count() <= MAX_BROADCAST else known
-        hashed = spread.withColumn("hash", F.when(F.col("key").isNull(), F.col("text_hash")).otherwise(F.xxhash64("key")))
-        met = hashed.join(known, "hash", "left").filter("key IS NULL OR met").drop("hash", "met")
+        known = needs.select(F.xxhash64("key").alias("hash")).distinct()
+        if needs.count() <= MAX_BROADCAST:  # headers meet the hash of their empty key
+            known = F.broadcast(known.union(docs.sparkSession.range(1).select(F.xxhash64(F.lit("")))).distinct())
+            met = spread.withColumn("hash", F.xxhash64("key")).join(known, "hash").drop("hash")
+        else:  # headers are dealt by the hash of their text, and kept whether or not that is met
+            hashed = spread.withColumn("hash", F.when(F.col("key") == "", F.col("text_hash")).otherwise(F.xxhash64("key")))
+            met = hashed.join(known.withColumn("met", F.lit(True)), "hash", "left").filter("key = '' OR met").drop("hash", "met")
     met = cut(met)
-    headers = met.filter("key IS NULL").select("doc_id", "text_hash", F.col("pos").cast("long").alias("n_words"))
+    headers = met.filter("key = ''").select("doc_id", "text_hash", F.col("pos").cast("long").alias("n_words"))
     if needs is None:
         return headers, headers.select("doc_id", "text_hash", F.lit(0).alias("start"), F.lit(0).alias("len"), F.array().cast("array<string>").alias("items")).limit(0)
-    found = met.filter("key IS NOT NULL").distinct()  # rows that repeat count once
+    found = met.filter("key <> ''").distinct()  # rows that repeat count once
 
     # The rarest shingle of each window; a window with a shingle that no document has cannot occur.
     counts = cut(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
