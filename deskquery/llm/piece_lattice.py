@@ -358,7 +358,9 @@ def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY, longest: i
         order, more = np.argsort(places), more.astype(np.int64)
         ids = np.concatenate([ids, _gathered(all_ids, (np.cumsum(more) - more)[order], more[order])])
         every = _Table(ids, np.concatenate([counts, more[order]]), here)
-        return pa.Table.from_batches([_documents(b, every, here) for b in slices(documents.select(["row", "places"]).to_batches(), 1, most=1 << 20)])
+        done = pa.Table.from_batches([_documents(b, every, here) for b in slices(documents.select(["row", "places"]).to_batches(), 1, most=1 << 20)])
+        pa.default_memory_pool().release_unused()
+        return done
 
     result = T.StructType([T.StructField("row", listed.schema["row"].dataType), *[T.StructField(c, t) for c, t in zip(_ADDED, (T.ArrayType(T.IntegerType()), T.LongType(), T.LongType(), T.StringType()), strict=True)]])
     documents = listed.filter("word IS NULL").select("batch", "row", "places")
