@@ -34,6 +34,7 @@ those with the results' names are replaced.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import re
 import string
@@ -41,7 +42,7 @@ import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from functools import cache
 
 import numpy as np
@@ -222,12 +223,15 @@ class _Places(dict):
 
 
 def _packed(places: np.ndarray) -> bytes:
-    """Numbers as bytes, all lowest ones first, then all second ones, and so on, which compresses well."""
-    return np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Numbers in three bytes, or four where that is too few (the first byte says), all lowest ones first, then all second ones, and so on, which compresses well."""
+    width = 3 if not len(places) or places.max() < 1 << 24 else 4
+    return bytes([width]) + np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T).tobytes()
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    whole = np.zeros(((len(raw) - 1) // raw[0], 4), np.uint8)
+    whole[:, : raw[0]] = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1).T
+    return whole.view("<u4").ravel()
 
 
 def _gathered(flat: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -252,11 +256,18 @@ class _Table:
         self.raw_at = sums[self.at]
 
 
+def _give_back() -> None:
+    """Unused memory of this worker, which stays and would keep it."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _numbered(boxes: DataFrame, model: str, known) -> DataFrame:
     """Rows of documents (batch, row, places: the places of their words in the batch's list, packed) and of each batch's words beyond the frequent ones (batch, place, word)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, first = pieces(model), {w: k for k, w in enumerate(known.value[0])}
+        here, first = pieces(model), {w: k for k, w in enumerate(known.value)}
         words, batch, size, row = _Places(first), TaskContext.get().partitionId() << 32, 0, None
 
         def rows(n: int, **given) -> pa.RecordBatch:
@@ -279,7 +290,7 @@ def _numbered(boxes: DataFrame, model: str, known) -> DataFrame:
                 words, batch, size = _Places(first), batch + 1, 0
         yield from ended()
         words.clear()
-        pa.default_memory_pool().release_unused()  # the worker stays
+        _give_back()
 
     schema = T.StructType([T.StructField("batch", T.LongType()), boxes.schema["row"], T.StructField("places", T.BinaryType()), T.StructField("place", T.IntegerType()), T.StructField("word", T.StringType())])
     schema["row"].nullable = True
@@ -336,16 +347,17 @@ def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY, longest: i
         few = frequent_words(docs, model, vocabulary).repartition(4 * n, "word")
         with _settings(spark, keys=_EDGE_KEYS):
             known = segmented(few, table).toArrow().sort_by([("n", "descending")])  # VOCABULARY words of COMMON characters at most
-    known = spark.sparkContext.broadcast((known["word"].to_pylist(), *_flat(known["ids"])) if known else ([], np.empty(0, np.int32), np.empty(0, np.int64)))
+    first = spark.sparkContext.broadcast(known["word"].to_pylist() if known else [])
+    known = spark.sparkContext.broadcast(_flat(known["ids"]) if known else (np.empty(0, np.int32), np.empty(0, np.int64)))
 
     kept = [c for c in docs.columns if c.lower() not in ("text", *_ADDED)]
     some = next(x for x in ("_" * k for k in range(1, len(kept) + 2)) if x not in kept)  # a struct has one field at least
     row = F.struct(F.col("text").isNull().alias(some), *[F.col(quoted(c)) for c in kept]).alias("row")
     with _settings(spark, rows=500):
-        listed = _bucketed(_numbered(docs.select(row, F.col("text").cast("string").alias("text")), model, known), n, "batch")
+        listed = _bucketed(_numbered(docs.select(row, F.col("text").cast("string").alias("text")), model, first), n, "batch")
 
     words, short = listed.filter("word IS NOT NULL").select("word", "batch", "place"), F.char_length("word") <= longest
-    grouped = words.filter(short).repartition(4 * n, "word").groupBy("word").agg(F.collect_list(F.struct("batch", "place")).alias("ats"))  # small parts: their edges are many times as large
+    grouped = words.filter(short).repartition(8 * n, "word").groupBy("word").agg(F.collect_list(F.struct("batch", "place")).alias("ats"))  # small parts: their edges are many times as large
     found = segmented(grouped, table).select(F.explode("ats").alias("at"), "ids").select("at.batch", "at.place", "ids")
     if not words.filter(~short).isEmpty():
         found = found.union(_by_recursion(words.filter(~short).repartition(n), model))
@@ -353,13 +365,14 @@ def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY, longest: i
         sent = cut(found.sortWithinPartitions("batch", "place").mapInArrow(_by_batch, "batch long, places array<int>, counts array<int>, ids array<int>"))
 
     def together(documents: pa.Table, new: pa.Table) -> pa.Table:
-        here, (_, ids, counts) = pieces(model), known.value
+        _give_back()
+        here, (ids, counts) = pieces(model), known.value
         (places, more, all_ids) = (_flat(new.column(c))[0] for c in ("places", "counts", "ids"))
         order, more = np.argsort(places), more.astype(np.int64)
         ids = np.concatenate([ids, _gathered(all_ids, (np.cumsum(more) - more)[order], more[order])])
         every = _Table(ids, np.concatenate([counts, more[order]]), here)
         done = pa.Table.from_batches([_documents(b, every, here) for b in slices(documents.select(["row", "places"]).to_batches(), 1, most=1 << 20)])
-        pa.default_memory_pool().release_unused()
+        _give_back()
         return done
 
     result = T.StructType([T.StructField("row", listed.schema["row"].dataType), *[T.StructField(c, t) for c, t in zip(_ADDED, (T.ArrayType(T.IntegerType()), T.LongType(), T.LongType(), T.StringType()), strict=True)]])
