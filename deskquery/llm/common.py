@@ -35,10 +35,10 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, path: str | None = None) -> DataFrame:
+def cut(df: DataFrame, path: str | None = None, compression: str = "snappy") -> DataFrame:
     """The rows written as Parquet to the shared folder and read back: computed once, with no lineage, and safe when executors go."""
     path = path or shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

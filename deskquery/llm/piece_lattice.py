@@ -60,7 +60,7 @@ VOCABULARY = 1 << 18
 SAMPLE = 20_000  # documents that frequent words are looked for in, about
 COMMON = 64  # characters of a frequent word at most
 LONGEST = 4096
-BATCH = 32 << 20  # bytes of text of a batch, at most about
+BATCH = 16 << 20  # bytes of text of a batch, at most about
 _ADDED = ("ids", "n_pieces", "ids_crc32", "decoded")
 _EDGE_KEYS = 50_000  # words of a task whose edges stay in memory
 
@@ -362,7 +362,7 @@ def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY, longest: i
     if not words.filter(~short).isEmpty():
         found = found.union(_by_recursion(words.filter(~short).repartition(n), model))
     with _settings(spark, keys=_EDGE_KEYS):
-        sent = cut(found.sortWithinPartitions("batch", "place").mapInArrow(_by_batch, "batch long, places array<int>, counts array<int>, ids array<int>"))
+        sent = cut(found.sortWithinPartitions("batch", "place").mapInArrow(_by_batch, "batch long, places array<int>, counts array<int>, ids array<int>"), compression="zstd")
 
     def together(documents: pa.Table, new: pa.Table) -> pa.Table:
         _give_back()
