@@ -10,8 +10,8 @@ of marks whose first no piece holds behind a letter or digit), so a text's best
 segmentation is that of its words, and words are segmented once, by the
 lattice: their substrings of bounded length are exploded, joined with the piece
 table on equality (of a hash, then of the text), grouped into edges by word and
-folded by a higher-order aggregate that carries the best score and pieces of
-every prefix.
+folded by a higher-order aggregate that carries the best score and last edge of
+every prefix; a second one walks from the last edge back.
 
 How words travel. A task reads its texts once, in batches of bounded size, and
 leaves each document as places in its batch's list of words. That list's words
@@ -178,13 +178,12 @@ def segmented(words: DataFrame, table: Pieces) -> DataFrame:
     joined = spans.join(known, "hash", "left")
     same = F.col("piece") == F.col("known")
     edges = joined.filter(same | (F.col("len") == 1))
-    # An unknown character is an edge with its place below zero instead of an id.
-    edge = F.struct(
-        (F.col("start") + F.col("len")).alias("end"), F.col("start"),
-        F.when(same, F.col("score")).otherwise(table.fallback).alias("score"), F.when(same, F.col("id")).otherwise(-1 - F.col("start")).alias("id"),
-    )
-    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"), *[F.first(c).alias(c) for c in rest])
-    best = grouped.select("word", *rest, _best(F.col("edges")).alias("ids"))
+    # Made before they are grouped, in compiled code. The other columns come with one edge of a word, which each word has.
+    edge = F.struct(_edge(F.col("start") + F.col("len"), F.col("start"), F.when(same, F.col("id"))).alias("key"), F.when(same, F.col("score")).otherwise(table.fallback).alias("score")).alias("edge")
+    one = (F.col("start") == 0) & (F.col("len") == 1)
+    edges = edges.select("word", edge, *[F.when(one, F.col(c)).alias(c) for c in rest])
+    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges"), *[F.first(c, ignorenulls=True).alias(c) for c in rest])
+    best = grouped.select("word", *rest, _best(F.col("edges")).alias("back")).select("word", *rest, _walked(F.col("back")).alias("ids"))
     byte_ids = F.array(*[F.lit(table.of_byte[b]) for b in range(256)])
 
     def as_bytes(place: Column) -> Column:
@@ -195,23 +194,52 @@ def segmented(words: DataFrame, table: Pieces) -> DataFrame:
     return best.withColumn("ids", F.when(F.exists("ids", lambda i: i < 0), spelled).otherwise(F.col("ids")))
 
 
-_PREFIX = "struct<score:double,ids:array<int>>"
+_BITS = (20, 23)  # of an edge's start and of its id, plus 1; its end is above them
+
+
+def _edge(end: Column, start: Column, known: Column) -> Column:
+    """An edge as one number, in order of end, then start. known: the piece's id, or null for an unknown character."""
+    return F.shiftleft(end.cast("long"), sum(_BITS)) + F.shiftleft(start.cast("long"), _BITS[1]) + F.coalesce(known + 1, F.lit(0))
+
+
+def _end(edge: Column) -> Column:
+    return F.shiftright(edge, sum(_BITS)).cast("int")
+
+
+def _start(edge: Column) -> Column:
+    return F.shiftright(edge, _BITS[1]).bitwiseAND(F.lit((1 << _BITS[0]) - 1)).cast("int")
+
+
+def _id(edge: Column) -> Column:
+    """An unknown character has its place below zero instead of an id."""
+    known = edge.bitwiseAND(F.lit((1 << _BITS[1]) - 1)).cast("int")
+    return F.when(known > 0, known - 1).otherwise(-1 - _start(edge))
 
 
 def _best(edges: Column) -> Column:
-    """Viterbi: best holds the finished prefixes, last the best so far of the prefix that ends at end. Edges come by end, then start."""
-    none = F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))
-    first = F.struct(F.array().cast(f"array<{_PREFIX}>").alias("best"), none.alias("last"), F.lit(0).alias("end")).cast(f"struct<best:array<{_PREFIX}>,last:{_PREFIX},end:int>")
+    """Viterbi: the last edge of the best way to each end. best and back hold the finished prefixes, score and edge the best so far of the prefix at hand. Edges come by end, then start.
+
+    Spark copies what a fold carries at every step, so that is numbers, and grows by array_append, which costs far less than concat."""
+    state = "struct<best:array<double>,back:array<long>,score:double,edge:long>"
+    first = F.struct(F.array().alias("best"), F.array().alias("back"), F.lit(0.0).alias("score"), F.lit(0).alias("edge")).cast(state)
+
+    def take(a: Column, e: Column) -> Column:
+        score = F.coalesce(F.get(a["best"], _start(e["key"])), a["score"]) + e["score"]  # the prefix just finished is still in score
+        further = F.struct(F.array_append(a["best"], a["score"]).alias("best"), F.array_append(a["back"], a["edge"]).alias("back"), score.alias("score"), e["key"].alias("edge"))
+        better = F.struct(a["best"].alias("best"), a["back"].alias("back"), score.alias("score"), e["key"].alias("edge"))
+        return F.when(_end(e["key"]) > _end(a["edge"]), further).when(score > a["score"], better).otherwise(a)
+
+    return F.aggregate(edges, first, take, lambda a: F.array_append(a["back"], a["edge"]))
+
+
+def _walked(back: Column) -> Column:
+    """The ids of the best way to the last end, from its last edge on."""
+    first = F.struct((F.size(back) - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
 
     def take(a: Column, e: Column) -> Column:
-        before = F.coalesce(F.get(a["best"], e["start"]), a["last"])  # the prefix just finished is still in last
-        score = before["score"] + e["score"]
-        here = F.struct(score.alias("score"), F.concat(before["ids"], F.array(e["id"])).alias("ids"))
-        further = F.struct(F.concat(a["best"], F.array(a["last"])).alias("best"), here.alias("last"), e["end"].alias("end"))
-        better = F.struct(a["best"].alias("best"), here.alias("last"), a["end"].alias("end"))
-        return F.when(e["end"] > a["end"], further).when(score > a["last"]["score"], better).otherwise(a)
+        return F.when((_end(e) == a["at"]) & (a["at"] > 0), F.struct(_start(e).alias("at"), F.array_append(a["ids"], _id(e)).alias("ids"))).otherwise(a)
 
-    return F.aggregate(edges, first, take, lambda a: a["last"]["ids"])
+    return F.aggregate(F.reverse(back), first, take, lambda a: F.reverse(a["ids"]))
 
 
 class _Places(dict):
@@ -356,8 +384,8 @@ def encode(docs: DataFrame, model: str, vocabulary: int = VOCABULARY, longest: i
     with _settings(spark, rows=500):
         listed = _bucketed(_numbered(docs.select(row, F.col("text").cast("string").alias("text")), model, first), n, "batch")
 
-    words, short = listed.filter("word IS NOT NULL").select("word", "batch", "place"), F.char_length("word") <= longest
-    grouped = words.filter(short).repartition(8 * n, "word").groupBy("word").agg(F.collect_list(F.struct("batch", "place")).alias("ats"))  # small parts: their edges are many times as large
+    words, short = listed.filter("word IS NOT NULL").select("word", "batch", "place"), F.char_length("word") <= min(longest, (1 << _BITS[0]) - 1)
+    grouped = words.filter(short).repartition(8 * n, "word").select("word", F.struct("batch", "place").alias("at")).groupBy("word").agg(F.collect_list("at").alias("ats"))  # small parts: their edges are many times as large
     found = segmented(grouped, table).select(F.explode("ats").alias("at"), "ids").select("at.batch", "at.place", "ids")
     if not words.filter(~short).isEmpty():
         found = found.union(_by_recursion(words.filter(~short).repartition(n), model))

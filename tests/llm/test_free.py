@@ -116,6 +116,21 @@ def test_lattice(spark):
     assert found == {w: table.segment(w) for w in words}
 
 
+def test_lattice_carries_numbers(spark):
+    """Edges are made before they are grouped, the fold never concatenates, other columns come once a word."""
+    table = piece_lattice.pieces(PIECES)
+    words = [(" hello", [1, 2]), ("日\U0001f600x", None), ("q" * 300, []), (" ", [3])]
+    found = piece_lattice.segmented(spark.createDataFrame(words, "word string, ats array<int>"), table)
+    assert {r.word: (r.ids, r.ats) for r in found.collect()} == {w: (table.segment(w), ats) for w, ats in words}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(edge#" in plan and "concat(" not in plan
+    top = (1 << 20) - 1
+    edge = piece_lattice._edge(F.lit(top), F.lit(top - 1), F.col("id"))
+    for known, want in ((31_999, 31_999), (0, 0), (None, -top)):
+        row = spark.createDataFrame([(known,)], "id int").select(edge.alias("e")).select(piece_lattice._end(F.col("e")), piece_lattice._start(F.col("e")), piece_lattice._id(F.col("e")))
+        assert tuple(row.first()) == (top, top - 1, want)
+
+
 def test_lattice_takes_all_words(spark, monkeypatch):
     rows = docs(spark, [(1, " ".join(f"rare{i}word" for i in range(300)) + " " + "x" * 500)])
     want = [(r.ids, r.decoded) for r in piece_lattice.encode(rows, PIECES, vocabulary=0, longest=1).collect()]  # all by the recursion
